@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, simhash
+from . import exact_dedup, langid, packing, simhash
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -13,6 +13,12 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dups(_read(spark, sf_dir, "documents"))
 
@@ -21,7 +27,15 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_read(spark, sf_dir, "documents")).drop("locator")
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash, op6_exact_dedup)}
+def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_read(spark, sf_dir, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_path())
+
+
+QUERIES = {f.__name__: f for f in (op4_simhash, op6_exact_dedup, op8_langid, op10_packing)}
 
 ORACLES = {
     "op6_exact_dedup": f"""
