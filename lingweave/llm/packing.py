@@ -1,8 +1,8 @@
 """Packing documents into sequences by the sum-of-squares rule.
 
-Each piece goes into the open bin (or a new one) after which the sum over all
-residual gaps of the squared number of open bins with that gap is smallest (Csirik
-et al., "On the sum-of-squares algorithm for bin packing", 2006).
+Each piece goes into the open bin after which the sum over all residual gaps of the
+squared number of open bins with that gap is smallest (Csirik et al., "On the
+sum-of-squares algorithm for bin packing", 2006); a new bin is opened where none has room.
 """
 
 from __future__ import annotations
@@ -117,8 +117,9 @@ def _encoded(column: pa.Array, words: WordIds, rows: int = 256) -> Iterator[byte
 
 
 def sum_of_squares(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
-    """(bin, offset) of each item, placed in the given order. Among equal sums the
-    smallest gap wins, an open bin before a new one."""
+    """(bin, offset) of each item, placed in the given order. Among equal sums the smallest
+    gap wins. The rule chooses among the open bins with room; a new bin is opened only where
+    there is none, which with largest first comes closest to the lower bound."""
     n = np.zeros(capacity + 1, np.int64)  # open bins by residual gap
     holding: list[list[int]] = [[] for _ in range(capacity + 1)]
     where, offset, bins = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64), 0
@@ -133,7 +134,7 @@ def sum_of_squares(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.nda
         change[0] = 1 - 2 * gaps[0]
         change[gaps == 0] = far
         best = int(change.argmin())
-        if change[best] <= 2 * n[capacity - s] + 1:
+        if change[best] < far:
             gap = best + s
             b = holding[gap].pop()
             n[gap] -= 1

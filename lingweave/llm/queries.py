@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, langid, packing, simhash
+from . import decontaminate, exact_dedup, langid, packing, simhash
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -19,6 +19,10 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.overlaps(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dups(_read(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op4_simhash, op6_exact_dedup, op8_langid, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_simhash, op6_exact_dedup, op8_langid, op10_packing)}
 
 ORACLES = {
     "op6_exact_dedup": f"""
