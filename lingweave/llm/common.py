@@ -53,3 +53,15 @@ def ascii_lower(c: Column) -> Column:
 
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: Ids broadcast at most: 8 bytes each, so 16 MB.
+BROADCAST_IDS = 2_000_000
+
+
+def without(docs: DataFrame, gone: DataFrame) -> DataFrame:
+    """``docs`` without the doc_ids of ``gone``; rows of null id stay. The ids are broadcast
+    while they are few, so that text needn't move; beyond that both sides are shuffled."""
+    gone = spool(gone.select(F.col("doc_id").alias("__gone")).distinct(), "gone")
+    few = gone.count() <= BROADCAST_IDS
+    return docs.join(F.broadcast(gone) if few else gone, docs["doc_id"] == gone["__gone"], "left_anti")

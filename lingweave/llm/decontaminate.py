@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import without
+
 #: Masks over 9 and 8 tokens: 1 is compared, 0 ignored. With three masks of differing shape a
 #: substitution at one place leaves another mask, or a shifted window, untouched.
 MASKS = ("110101011", "101100111", "11100111")
@@ -128,5 +130,4 @@ def _best_segment(part: Column, item: Column) -> Column:
 
 def drop_contaminated(docs: DataFrame, tests: DataFrame, **options) -> DataFrame:
     """``docs`` without those that hold a passage of a test item; all columns stay."""
-    gone = overlaps(docs, tests, **options).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    return without(docs, overlaps(docs, tests, **options))

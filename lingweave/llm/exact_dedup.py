@@ -15,12 +15,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, drop_path, scratch, spool
+from .common import BROADCAST_IDS, ascii_lower, drop_path, scratch, spool, without
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-#: Identifiers broadcast to pick out hits: 8 bytes each, so 16 MB at most; beyond that both sides are shuffled.
-BROADCAST_IDS = 2_000_000
 #: Members of one group that are compared in one task.
 SALT_ROWS = 4096
 
@@ -129,5 +127,4 @@ def _regroup(source: DataFrame, found: DataFrame, differing: DataFrame, digest)
 
 def keep_unique(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that repeat another row's text; all columns stay."""
-    gone = exact_dedup(docs).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    return without(docs, exact_dedup(docs).filter("not kept"))

@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import without
+
 UNDETERMINED = "und"
 _LETTER = re.compile(r"[^\W\d_]")
 
@@ -252,5 +254,4 @@ def identify(docs: DataFrame, per_language: int = 250, **options) -> DataFrame:
 
 def keep_identified(docs: DataFrame, floor: float = 0.0, **options) -> DataFrame:
     """``docs`` without those of no language: no letter, or a score under ``floor``."""
-    gone = identify(docs, **options).filter((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < floor)).select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    return without(docs, identify(docs, **options).filter((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < floor)))

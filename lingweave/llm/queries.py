@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, langid, packing, simhash
+from . import decontaminate, exact_dedup, html_extract, langid, packing, simhash
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -27,6 +27,10 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dups(_read(spark, sf_dir, "documents"))
 
 
+def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(_read(spark, sf_dir, "pages"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_read(spark, sf_dir, "documents")).drop("locator")
 
@@ -39,7 +43,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_simhash, op6_exact_dedup, op8_langid, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_simhash, op5_html_text, op6_exact_dedup, op8_langid, op10_packing)}
 
 ORACLES = {
     "op6_exact_dedup": f"""

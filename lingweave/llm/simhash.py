@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import spool
+from .common import spool, without
 from .components import connected_components
 
 BITS = 64
@@ -182,5 +182,4 @@ def simhash_near_dups(docs: DataFrame, n: int = 3, distance: int = 2, seed: int
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document, the smallest doc_id, of each component; all columns stay."""
-    gone = simhash_near_dups(docs, **options).filter("doc_id <> component_id").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["__gone"], "left_anti")
+    return without(docs, simhash_near_dups(docs, **options).filter("doc_id <> component_id"))
