@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, html_extract, langid, packing, simhash
+from . import decontaminate, exact_dedup, html_extract, langid, line_dedup, packing, simhash
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -35,6 +35,10 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_read(spark, sf_dir, "documents")).drop("locator")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_dedup(_read(spark, sf_dir, "documents"))
+
+
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_read(spark, sf_dir, "documents"))
 
@@ -43,9 +47,23 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_simhash, op5_html_text, op6_exact_dedup, op8_langid, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op4_simhash, op5_html_text, op6_exact_dedup, op7_line_dedup, op8_langid, op10_packing)}
 
 ORACLES = {
+    "op7_line_dedup": r"""
+        WITH lines AS (
+            SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
+        solid AS (
+            SELECT doc_id, pos, trim(line, ' ' || chr(9) || chr(13)) AS k, row_number() OVER (PARTITION BY doc_id ORDER BY pos) AS n
+            FROM lines WHERE trim(line, ' ' || chr(9) || chr(13)) <> ''),
+        pairs AS (SELECT doc_id, n, k, lead(k) OVER (PARTITION BY doc_id ORDER BY n) AS k2 FROM solid),
+        ranked AS (SELECT doc_id, n, row_number() OVER (PARTITION BY k, k2 ORDER BY doc_id, n) AS r FROM pairs WHERE k2 IS NOT NULL),
+        gone AS (SELECT DISTINCT doc_id, n + d AS n FROM ranked, (VALUES (0), (1)) AS t(d) WHERE r > 1),
+        gone_pos AS (SELECT s.doc_id, s.pos FROM solid s JOIN gone g ON s.doc_id = g.doc_id AND s.n = g.n),
+        marked AS (SELECT l.doc_id, l.pos, l.line, g.pos IS NOT NULL AS gone FROM lines l LEFT JOIN gone_pos g ON l.doc_id = g.doc_id AND l.pos = g.pos)
+        SELECT doc_id, count(*) FILTER (WHERE trim(line, ' ' || chr(9) || chr(13)) <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,
+               coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '') AS text
+        FROM marked GROUP BY doc_id""",
     "op6_exact_dedup": f"""
         SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
                doc_id = max(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256
