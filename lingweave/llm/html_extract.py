@@ -150,6 +150,21 @@ def page_text(html: str | None) -> str:
     return _joined(parse(html, prune=False)) if html else ""
 
 
+def page_lines(html: str | None) -> str:
+    """All visible text of a page, one line a block."""
+    if not html:
+        return ""
+    tree, lines, line = parse(html, prune=False), [], []
+    for node, piece in [*tree.pieces, (0, None)]:
+        if piece is None:
+            if text := " ".join(unescape("".join(line)).split()):
+                lines.append(text)
+            line = []
+        elif not tree.cut[node]:
+            line.append(piece)
+    return "\n".join(lines)
+
+
 def main_text(html: str | None) -> str:
     """The article of a page; empty if there is none."""
     if not html:
