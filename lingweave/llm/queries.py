@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, html_extract, langid, line_dedup, packing, simhash, warc_derivatives
+from . import decontaminate, exact_dedup, html_extract, langid, line_dedup, lm_score, packing, simhash, warc_derivatives
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -28,6 +28,10 @@ def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_derivatives.derive(responses, keep=["page_id"])
 
 
+def op3_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score.lm_scores(_read(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.simhash_near_dups(_read(spark, sf_dir, "documents"))
 
@@ -52,7 +56,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_warc_derivatives, op4_simhash, op5_html_text, op6_exact_dedup, op7_line_dedup, op8_langid, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_warc_derivatives, op3_lm_scores, op4_simhash, op5_html_text, op6_exact_dedup, op7_line_dedup, op8_langid, op10_packing)}
 
 ORACLES = {
     "op7_line_dedup": r"""
