@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, html_extract, langid, line_dedup, lm_score, packing, simhash, warc_derivatives
+from . import decontaminate, exact_dedup, html_extract, langid, line_dedup, lm_score, packing, simhash, suffix_dedup, warc_derivatives
 
 _LOWERED = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
@@ -52,11 +52,15 @@ def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(_read(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(_read(spark, sf_dir, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), tokenizer_path())
 
 
-QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_warc_derivatives, op3_lm_scores, op4_simhash, op5_html_text, op6_exact_dedup, op7_line_dedup, op8_langid, op10_packing)}
+QUERIES = {f.__name__: f for f in (op1_decontaminate, op2_warc_derivatives, op3_lm_scores, op4_simhash, op5_html_text, op6_exact_dedup, op7_line_dedup, op8_langid, op9_suffix_dedup, op10_packing)}
 
 ORACLES = {
     "op7_line_dedup": r"""
