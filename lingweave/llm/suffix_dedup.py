@@ -28,8 +28,6 @@ _B = 0x9E3779B97F4A7C15 | 1
 _B_INVERSE = pow(_B, -1, 2**64)
 #: Suffixes of one key from which on its windows are grouped one by one, in many tasks.
 HOT_KEY = 100_000
-#: Positions (4 bytes each) that are broadcast to the texts; beyond that both sides are shuffled.
-BROADCAST_POSITIONS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -122,10 +120,8 @@ def repeated_passages(docs: DataFrame, words: int = 50, group: int = 8, hot_key:
     found = spool(texts.mapInArrow(select, "doc_id long, at int, key long, lo short, hi short"), "suffixes")
     repeated = found.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     survivors = found.join(repeated, "key").groupBy("doc_id").agg(F.collect_list(F.struct("at", "key", "lo", "hi", (F.col("n") > hot_key).alias("hot"))).alias("s"))
-    survivors = spool(survivors, "suffix-survivors")
-    few = (survivors.agg(F.sum(F.size("s"))).first()[0] or 0) * 3 <= BROADCAST_POSITIONS
     # texts without a surviving suffix go no further
-    rows = texts.join(F.broadcast(survivors) if few else survivors, "doc_id").select("doc_id", "text", "s.at", "s.key", "s.lo", "s.hi", "s.hot")
+    rows = texts.join(survivors, "doc_id").select("doc_id", "text", "s.at", "s.key", "s.lo", "s.hi", "s.hot")
     context = rows.mapInArrow(_contexts(shape), "doc_id long, at int, key long, lo short, hi short, hot boolean, left binary, right binary")
     context = spool(context, "suffix-contexts")
     order = context.filter("not hot").drop("hot").repartition(partitions(docs.sparkSession), "key").sortWithinPartitions("key", "right")
