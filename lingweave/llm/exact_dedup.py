@@ -68,6 +68,7 @@ def exact_dedup(
     normalise: Callable[[Column], Column] = ascii_lower,
     digest: Callable[[Column], Column] | None = None,
     files_per_batch: int = 1000,
+    locator: Column | None = None,
 ) -> DataFrame:
     """One row per document: doc_id, keep_id, group_size, kept, text_sha256, locator.
 
@@ -75,11 +76,13 @@ def exact_dedup(
     largest doc_id stays. A null text counts as empty. Rows that repeat a doc_id
     count each and stay or go together; null doc_ids stay only where all ids of the
     group are null. An empty table gives no rows. Other columns of ``docs`` are not
-    read, whatever their names. ``digest`` is replaceable for tests of collisions.
+    read, whatever their names. ``locator`` tells where a row's content lies: its doc_id in
+    ``docs``, or for a table read straight from files ``F.input_file_name()``. ``digest`` is
+    replaceable for tests of collisions.
     """
     spark = docs.sparkSession
     text = normalise(F.coalesce(F.col("text"), F.lit("")))
-    source = docs.select("doc_id", text.alias("text"), F.input_file_name().alias("locator"))
+    source = docs.select("doc_id", text.alias("text"), (F.col("doc_id").cast("string") if locator is None else locator).alias("locator"))
     digest = digest or (lambda c: F.unhex(F.sha2(c, 256)))
     rows_path, sink, state = (scratch(spark, f"exact-{x}") for x in ("rows", "sink", "state"))
     columns = ["doc_id", digest(F.col("text")).alias("digest"), F.octet_length("text").alias("n_bytes"), F.unhex(F.sha2("text", 256)).alias("sha"), "locator"]
