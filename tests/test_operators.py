@@ -91,7 +91,7 @@ def test_reconcile(spark):
     b = spark.createDataFrame([(1, 1, 0.9), (2, 1, 0.95), (2, 2, 0.3), (1, 2, 0.2), (3, 3, 0.05)], schema)
     once = matching.reconcile(f, b, rounds=1, threshold=0.1)
     # at n = 1 only source 2 and target 1 want each other; at n = 2 all do, and source 1 has the better mean
-    assert {(r["src_idx"], r["trg_idx"], r["score"]) for r in once.collect()} == {(2, 1, pytest.approx(0.825))}
+    assert [(r["src_idx"], r["trg_idx"], r["score"]) for r in once.collect()] == [(2, 1, pytest.approx(0.825))]
     both = {(r["src_idx"], r["trg_idx"]): r["score"] for r in matching.reconcile(f, b, n=2, threshold=0.1).collect()}
     assert both == {(1, 1): pytest.approx(0.9), (2, 2): pytest.approx(0.2)}
     more = matching.adopt_unpaired(matching.reconcile(f, b, n=2, threshold=0.1), b)
