@@ -50,7 +50,7 @@ class WordIds:
     remembered (twice that, of about 0.2 KB).
     """
 
-    def __init__(self, path: str, most: int = 700_000, end_mark: str = "</w>"):
+    def __init__(self, path: str, most: int = 250_000, end_mark: str = "</w>"):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         from tokenizers import Tokenizer
 
