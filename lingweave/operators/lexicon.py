@@ -6,16 +6,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
+from .matching import cut_lineage
 
 
 def word_index(docs: DataFrame, max_occurrences: int = -1, id_col: str = "doc_idx") -> DataFrame:
     """lang, word, doc_idxs. Words are distinct per document before their outer punctuation
     goes, so a document with ``foo`` and ``foo,`` counts twice; words in more places than
     ``max_occurrences`` drop out (-1: none)."""
-    w = docs.select("lang", id_col, F.explode(F.array_distinct(T.tokens(F.lower("text")))).alias("w"))
+    # the one-element list keeps the optimiser from splitting each text once more for a filter
+    split = docs.select("lang", id_col, F.explode(F.array(F.array_distinct(T.tokens(F.lower("text"))))).alias("t"))
+    w = split.select("lang", id_col, F.explode("t").alias("w"))
     stripped = w.select("lang", id_col, T.strip_punctuation(F.col("w")).alias("word")).filter("word <> ''")
     # the count comes first, so that a stop word's list is never collected
     if max_occurrences >= 0:
+        stripped = cut_lineage(stripped)
         rare = stripped.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= max_occurrences)
         stripped = stripped.join(rare.select("lang", "word"), ["lang", "word"], "left_semi")
     return stripped.groupBy("lang", "word").agg(F.array_sort(F.collect_list(id_col)).alias("doc_idxs"))
@@ -39,7 +43,7 @@ def bow_candidates(index: DataFrame, dictionary: DataFrame, lang1: str, lang2: s
     with any: min(|V1|,|V2|) / max(|V1|,|V2|) * |V1 and T2| / k2. An equi-join of postings
     on the translated word; ``hosts`` (lang, doc_idx, host) adds the host as a key.
     """
-    posts = index.select("lang", "word", F.explode("doc_idxs").alias("doc")).distinct()
+    posts = cut_lineage(index.select("lang", "word", F.explode("doc_idxs").alias("doc")).distinct())  # read five times
     one = posts.filter(F.col("lang") == lang1).select(F.col("doc").alias("src_idx"), "word")
     two = posts.filter(F.col("lang") == lang2).select(F.col("doc").alias("trg_idx"), "word")
     pairs_of_words = dictionary.select(F.col("trg_word").alias("word"), F.col("src_word").alias("translation")).distinct()

@@ -91,7 +91,7 @@ def run(
 
 def _by_lexicon(docs: DataFrame, both: DataFrame, dictionary: DataFrame | None, c: Config) -> DataFrame:
     words = both.select(F.when(F.col("side") == "src", "l1").otherwise("l2").alias("lang"), "doc_idx", "text")
-    index = lexicon.word_index(words, c.max_word_occurrences)
+    index = matching.cut_lineage(lexicon.word_index(words, c.max_word_occurrences))
     same = lexicon.identical_words(index, "l1", "l2")
     table = same if dictionary is None else lexicon.extend_dictionary(dictionary, index, "l1", "l2")
     pages = features.page_features(docs.withColumn("html", F.lit("")))

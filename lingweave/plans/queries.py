@@ -169,14 +169,17 @@ def word_index_maxocc(spark, sf):
     return lexicon.word_index(languages(spark, sf), 15)
 
 
-def _bow(spark, sf, one, two):
-    index = lexicon.word_index(languages(spark, sf), 15)
+def _index(spark, sf):
+    return matching.cut_lineage(lexicon.word_index(languages(spark, sf), 15))
+
+
+def _bow(index, one, two):
     return lexicon.bow_candidates(index, lexicon.identical_words(index, "l1", "l2"), one, two)
 
 
 @query(f"WITH {_bow_sql('l1', 'l2')} SELECT src_idx, trg_idx, round(bow_overlap_score, 9) AS bow_overlap_score FROM bow")
 def bow_overlap_candidates(spark, sf):
-    return _bow(spark, sf, "l1", "l2").withColumn("bow_overlap_score", F.round("bow_overlap_score", 9))
+    return _bow(_index(spark, sf), "l1", "l2").withColumn("bow_overlap_score", F.round("bow_overlap_score", 9))
 
 
 @query(
@@ -184,7 +187,7 @@ def bow_overlap_candidates(spark, sf):
   SELECT src_idx, trg_idx, round(bow_overlap_score, 9) AS bow_overlap_score, CAST(rank AS INTEGER) AS rank FROM r WHERE rank <= 10"""
 )
 def bow_topk(spark, sf):
-    return lexicon.top_candidates(_bow(spark, sf, "l1", "l2")).withColumn("bow_overlap_score", F.round("bow_overlap_score", 9))
+    return lexicon.top_candidates(_bow(_index(spark, sf), "l1", "l2")).withColumn("bow_overlap_score", F.round("bow_overlap_score", 9))
 
 
 @query(f"WITH {INDEX} SELECT DISTINCT a.word AS src_word, a.word AS trg_word FROM st a JOIN st b ON a.word = b.word WHERE a.lang = 'l1' AND b.lang = 'l2'")
@@ -193,8 +196,9 @@ def identical_word_dictionary(spark, sf):
 
 
 def _both_ways(spark, sf):
-    forward = _bow(spark, sf, "l1", "l2").select("src_idx", "trg_idx", F.round("bow_overlap_score", 9).alias("score"))
-    back = _bow(spark, sf, "l2", "l1").select(F.col("trg_idx").alias("src_idx"), F.col("src_idx").alias("trg_idx"), F.round("bow_overlap_score", 9).alias("score"))
+    index = _index(spark, sf)
+    forward = _bow(index, "l1", "l2").select("src_idx", "trg_idx", F.round("bow_overlap_score", 9).alias("score"))
+    back = _bow(index, "l2", "l1").select(F.col("trg_idx").alias("src_idx"), F.col("src_idx").alias("trg_idx"), F.round("bow_overlap_score", 9).alias("score"))
     return forward, back
 
 
