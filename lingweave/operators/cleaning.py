@@ -22,7 +22,7 @@ def within(sentence: Column, limit: int, unit: str = "words") -> Column:
     return (F.size(T.words(sentence)) if unit == "words" else F.length(sentence)) <= limit
 
 
-def score_at_least(df: DataFrame, threshold: float, column: str = "bicleaner_score") -> DataFrame:
+def score_at_least(df: DataFrame, threshold: float, column: str = "pair_score") -> DataFrame:
     return df.where(F.col(column) >= threshold)
 
 
@@ -97,10 +97,10 @@ def fluency(src: Column, trg: Column) -> Column:
     return F.round((letters(src) + letters(trg)) * 45 + (ends(src) + ends(trg)) * 5, 4)
 
 
-def add_bifixer(df: DataFrame, aggressive: bool = True) -> DataFrame:
+def add_repair(df: DataFrame, aggressive: bool = True) -> DataFrame:
     s, t = F.col("src_text"), F.col("trg_text")
     fixed = df.withColumn("src_text", repair(s)).withColumn("trg_text", repair(t))
-    return fixed.select("*", near_duplicate_key(s, t, aggressive).alias("bifixer_hash"), fluency(s, t).alias("bifixer_score"))
+    return fixed.select("*", near_duplicate_key(s, t, aggressive).alias("near_dup_hash"), fluency(s, t).alias("repair_score"))
 
 
 def pair_score(src: Column, trg: Column) -> Column:
@@ -111,7 +111,7 @@ def pair_score(src: Column, trg: Column) -> Column:
     return F.round(F.coalesce(length, F.lit(0.0)) * numbers * copy, 4)
 
 
-def score_distinct(df: DataFrame, scorer=pair_score, keys: tuple[str, str] = ("src_text", "trg_text"), name: str = "bicleaner_score") -> DataFrame:
+def score_distinct(df: DataFrame, scorer=pair_score, keys: tuple[str, str] = ("src_text", "trg_text"), name: str = "pair_score") -> DataFrame:
     """Each distinct pair is scored once, however dear the scorer, and joined back."""
     s, t = keys
     scores = df.select(s, t).distinct().withColumn(name, scorer(F.col(s), F.col(t)))
@@ -120,7 +120,7 @@ def score_distinct(df: DataFrame, scorer=pair_score, keys: tuple[str, str] = ("s
 
 def corpus_order(df: DataFrame, ascending_text: bool = True) -> list[Column]:
     """The corpus' sort keys, as its columns allow."""
-    keys = [F.col("bifixer_hash"), F.col("bifixer_score").desc()] if "bifixer_hash" in df.columns else []
+    keys = [F.col("near_dup_hash"), F.col("repair_score").desc()] if "near_dup_hash" in df.columns else []
     return keys + [F.col(c) for c in ("src_text", "trg_text", "src_url", "trg_url")]
 
 

@@ -206,6 +206,6 @@ def deferred_hash(sentences_: Column) -> Column:
     return F.array_join(F.transform(sentences_, lambda s: F.lower(F.hex(F.xxhash64(s)))), "+")
 
 
-def hunalign_dictionary(dictionary: DataFrame, reverse: bool = False) -> DataFrame:
+def aligner_dictionary(dictionary: DataFrame, reverse: bool = False) -> DataFrame:
     a, b = ("src_word", "trg_word") if reverse else ("trg_word", "src_word")
     return dictionary.select(F.concat(a, F.lit(" @ "), b).alias("line"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field, fields
 
-UNTIL = ["crawl", "preprocess", "shard", "split", "translate", "tokenise", "docalign", "segalign", "bifixer", "bicleaner", "filter"]
+UNTIL = ["crawl", "preprocess", "shard", "split", "translate", "tokenise", "docalign", "segalign", "repair", "score", "filter"]
 
 
 @dataclass
@@ -33,10 +33,10 @@ class Config:
     max_word_occurrences: int = 15
     candidates: int = 10
     rank_threshold: float = 0.0
-    bifixer: bool = True
+    repair: bool = True
     aggressive_dedup: bool = True
-    bicleaner: bool = False
-    bicleaner_threshold: float = 0.0
+    score_pairs: bool = False
+    pair_threshold: float = 0.0
     elrc: bool = False
     deduped: bool = True
     tmx: bool = False

@@ -73,17 +73,17 @@ def run(
     out = sentences.align(joined.drop("score"), c.segment_aligner, c.seg_threshold, keys=["src_url", "trg_url"])
     if c.until == "segalign":
         return out
-    if c.bifixer:
-        out = cleaning.add_bifixer(out, c.aggressive_dedup)
-    if c.until == "bifixer":
+    if c.repair:
+        out = cleaning.add_repair(out, c.aggressive_dedup)
+    if c.until == "repair":
         return out
-    if c.bicleaner:
-        out = cleaning.score_at_least(cleaning.score_distinct(out, scorer), c.bicleaner_threshold)
-    if c.until == "bicleaner":
+    if c.score_pairs:
+        out = cleaning.score_at_least(cleaning.score_distinct(out, scorer), c.pair_threshold)
+    if c.until == "score":
         return out
     out = cleaning.elrc_metrics(out) if c.elrc else out
     if c.deduped:
-        keys = ["bifixer_hash"] if c.bifixer else ["src_text", "trg_text"]
+        keys = ["near_dup_hash"] if c.repair else ["src_text", "trg_text"]
         groups = out.groupBy(*keys).agg(F.array_sort(F.collect_set("src_url")).alias("src_urls"), F.array_sort(F.collect_set("trg_url")).alias("trg_urls"))
         out = cleaning.best_of_duplicates(out, keys, cleaning.corpus_order(out)).join(groups, keys)
     return cleaning.sort_corpus(out)

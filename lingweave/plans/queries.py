@@ -52,7 +52,7 @@ def segments(spark: SparkSession, sf: str) -> DataFrame:
         F.col("text").alias("src_text"),
         "trg_text",
         ((F.length("text") % 10) / F.lit(10.0)).alias("aligner_score"),
-        (((F.col("conv_id") * 7 + F.col("turn")) % 100) / F.lit(100.0)).alias("bicleaner_score"),
+        (((F.col("conv_id") * 7 + F.col("turn")) % 100) / F.lit(100.0)).alias("pair_score"),
     )
 
 
@@ -69,7 +69,7 @@ def languages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 SEG = """seg AS (SELECT a.conv_id, a.turn, 'http://c' || a.conv_id AS src_url, 'http://d' || (a.conv_id % 50) AS trg_url, a.text AS src_text, b.text AS trg_text,
-  CAST(length(a.text) % 10 AS DOUBLE) / 10 AS aligner_score, CAST((a.conv_id * 7 + a.turn) % 100 AS DOUBLE) / 100 AS bicleaner_score
+  CAST(length(a.text) % 10 AS DOUBLE) / 10 AS aligner_score, CAST((a.conv_id * 7 + a.turn) % 100 AS DOUBLE) / 100 AS pair_score
   FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1)"""
 GRAMS = """docs AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'src' ELSE 'trg' END AS side, doc_id AS doc_idx, list_filter(string_split_regex(lower(text), '[ \\n]+'), lambda x: x <> '') AS w FROM documents WHERE lang = 'en'),
   grams AS (SELECT side, doc_idx, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS ngram FROM docs WHERE len(w) >= 2),
@@ -468,10 +468,10 @@ def docjoin_columns(spark, sf):
     return docjoin.join_documents(_matches(spark, sf), d, d, ["source", "text"])
 
 
-@query(f"WITH {SEG}, docs AS (SELECT DISTINCT src_url, trg_url FROM seg) SELECT src_url, trg_url FROM docs d WHERE EXISTS (SELECT 1 FROM seg s WHERE s.src_url = d.src_url AND s.trg_url = d.trg_url AND bicleaner_score >= 0.9)")
+@query(f"WITH {SEG}, docs AS (SELECT DISTINCT src_url, trg_url FROM seg) SELECT src_url, trg_url FROM docs d WHERE EXISTS (SELECT 1 FROM seg s WHERE s.src_url = d.src_url AND s.trg_url = d.trg_url AND pair_score >= 0.9)")
 def docs_semijoin(spark, sf):
     s = segments(spark, sf)
-    return docjoin.pairs_with_sentences(s.select("src_url", "trg_url").distinct(), s.filter("bicleaner_score >= 0.9"))
+    return docjoin.pairs_with_sentences(s.select("src_url", "trg_url").distinct(), s.filter("pair_score >= 0.9"))
 
 
 @query(f"WITH {SEG} SELECT DISTINCT src_url, trg_url, src_text AS src_doc, trg_text AS trg_doc FROM seg")
@@ -519,11 +519,11 @@ def cut_columns(spark, sf):
     return docjoin.cut_columns(segments(spark, sf), ["trg_text", "src_url", "trg_text"])
 
 
-@query(f"WITH {SEG} SELECT src_url, trg_url, src_text, trg_text FROM seg WHERE bicleaner_score >= 0.5 UNION ALL SELECT src_url, trg_url, src_text, trg_text FROM seg WHERE bicleaner_score < 0.1")
+@query(f"WITH {SEG} SELECT src_url, trg_url, src_text, trg_text FROM seg WHERE pair_score >= 0.5 UNION ALL SELECT src_url, trg_url, src_text, trg_text FROM seg WHERE pair_score < 0.1")
 def raw_corpus(spark, sf):
     s = segments(spark, sf)
     names = ["src_url", "trg_url", "src_text", "trg_text"]
-    return corpora.raw_corpus([s.filter("bicleaner_score >= 0.5").select(*names), s.filter("bicleaner_score < 0.1").select(*names)])
+    return corpora.raw_corpus([s.filter("pair_score >= 0.5").select(*names), s.filter("pair_score < 0.1").select(*names)])
 
 
 @query("SELECT doc_id FROM documents WHERE lang = 'en' ORDER BY doc_id LIMIT (SELECT least(count(*) FILTER (WHERE lang = 'en'), count(*) FILTER (WHERE lang = 'fr')) FROM documents)")
@@ -535,7 +535,7 @@ def head_of_both(spark, sf):
 
 # --- cleaning -----------------------------------------------------------------
 
-_ELRC = "e AS (SELECT conv_id, turn, src_text, trg_text, CASE WHEN length(trg_text) = 0 THEN 0.0 ELSE CAST(length(src_text) AS DOUBLE) / length(trg_text) END AS length_ratio, CAST(len(string_split(src_text, ' ')) AS INTEGER) AS src_num_tokens, CAST(len(string_split(trg_text, ' ')) AS INTEGER) AS trg_num_tokens, bicleaner_score FROM seg)"
+_ELRC = "e AS (SELECT conv_id, turn, src_text, trg_text, CASE WHEN length(trg_text) = 0 THEN 0.0 ELSE CAST(length(src_text) AS DOUBLE) / length(trg_text) END AS length_ratio, CAST(len(string_split(src_text, ' ')) AS INTEGER) AS src_num_tokens, CAST(len(string_split(trg_text, ' ')) AS INTEGER) AS trg_num_tokens, pair_score FROM seg)"
 
 
 @query(f"WITH {SEG}, {_ELRC} SELECT conv_id, turn, round(length_ratio, 9) AS length_ratio, src_num_tokens, trg_num_tokens FROM e")
@@ -543,25 +543,25 @@ def elrc_metrics(spark, sf):
     return cleaning.elrc_metrics(segments(spark, sf)).select("conv_id", "turn", F.round("length_ratio", 9).alias("length_ratio"), "src_num_tokens", "trg_num_tokens")
 
 
-@query(f"WITH {SEG}, {_ELRC} SELECT conv_id, turn, round(bicleaner_score, 4) AS bicleaner_score FROM e WHERE trim(src_text) <> '' AND trim(trg_text) <> '' AND src_num_tokens < 200 AND trg_num_tokens < 200 AND length_ratio > 0.1666 AND length_ratio < 6")
+@query(f"WITH {SEG}, {_ELRC} SELECT conv_id, turn, round(pair_score, 4) AS pair_score FROM e WHERE trim(src_text) <> '' AND trim(trg_text) <> '' AND src_num_tokens < 200 AND trg_num_tokens < 200 AND length_ratio > 0.1666 AND length_ratio < 6")
 def elrc_filter(spark, sf):
-    return cleaning.elrc_filter(cleaning.elrc_metrics(segments(spark, sf)), "bicleaner_score").select("conv_id", "turn", "bicleaner_score")
+    return cleaning.elrc_filter(cleaning.elrc_metrics(segments(spark, sf)), "pair_score").select("conv_id", "turn", "pair_score")
 
 
-@query(f"WITH {SEG} SELECT conv_id, turn, bicleaner_score FROM seg WHERE bicleaner_score >= 0.5")
+@query(f"WITH {SEG} SELECT conv_id, turn, pair_score FROM seg WHERE pair_score >= 0.5")
 def score_threshold(spark, sf):
-    return cleaning.score_at_least(segments(spark, sf), 0.5).select("conv_id", "turn", "bicleaner_score")
+    return cleaning.score_at_least(segments(spark, sf), 0.5).select("conv_id", "turn", "pair_score")
 
 
-_HASH = "h AS (SELECT *, md5(regexp_replace(lower(src_text), '[^\\p{L}\\p{N}]', '', 'g') || chr(9) || regexp_replace(lower(trg_text), '[^\\p{L}\\p{N}]', '', 'g')) AS bifixer_hash FROM seg)"
+_HASH = "h AS (SELECT *, md5(regexp_replace(lower(src_text), '[^\\p{L}\\p{N}]', '', 'g') || chr(9) || regexp_replace(lower(trg_text), '[^\\p{L}\\p{N}]', '', 'g')) AS near_dup_hash FROM seg)"
 
 
 def _hashed(spark, sf):
     s = segments(spark, sf)
-    return s.withColumn("bifixer_hash", cleaning.near_duplicate_key(F.col("src_text"), F.col("trg_text"))).withColumn("bifixer_score", F.col("bicleaner_score"))
+    return s.withColumn("near_dup_hash", cleaning.near_duplicate_key(F.col("src_text"), F.col("trg_text"))).withColumn("repair_score", F.col("pair_score"))
 
 
-@query(f"WITH {SEG}, {_HASH} SELECT conv_id, turn, CAST(row_number() OVER (ORDER BY bifixer_hash, bicleaner_score DESC, src_text, trg_text, src_url, trg_url, turn) AS BIGINT) AS place FROM h")
+@query(f"WITH {SEG}, {_HASH} SELECT conv_id, turn, CAST(row_number() OVER (ORDER BY near_dup_hash, pair_score DESC, src_text, trg_text, src_url, trg_url, turn) AS BIGINT) AS place FROM h")
 def corpus_sort_rank(spark, sf):
     """Places in the sorted corpus: numbers within range partitions, shifted by the counts before them."""
     s = _hashed(spark, sf)
@@ -572,20 +572,20 @@ def corpus_sort_rank(spark, sf):
     return parts.join(F.broadcast(before), "part").select("conv_id", "turn", (F.col("m") - F.col("first") + F.col("before") + 1).alias("place"))
 
 
-@query(f"WITH {SEG}, {_HASH} SELECT bifixer_hash, count(*) AS n FROM h GROUP BY bifixer_hash HAVING count(*) > 1")
+@query(f"WITH {SEG}, {_HASH} SELECT near_dup_hash, count(*) AS n FROM h GROUP BY near_dup_hash HAVING count(*) > 1")
 def near_dup_hash_groups(spark, sf):
-    return _hashed(spark, sf).groupBy("bifixer_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return _hashed(spark, sf).groupBy("near_dup_hash").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
 
 
-@query(f"WITH {SEG}, {_HASH} SELECT bifixer_hash, list_sort(list(DISTINCT src_url)) AS src_urls, list_sort(list(DISTINCT trg_url)) AS trg_urls, count(*) AS n_rows FROM h GROUP BY bifixer_hash")
+@query(f"WITH {SEG}, {_HASH} SELECT near_dup_hash, list_sort(list(DISTINCT src_url)) AS src_urls, list_sort(list(DISTINCT trg_url)) AS trg_urls, count(*) AS n_rows FROM h GROUP BY near_dup_hash")
 def dedup_group_urls(spark, sf):
-    return cleaning.group_duplicates(_hashed(spark, sf), ["bifixer_hash"], {"src_urls": "src_url", "trg_urls": "trg_url"})
+    return cleaning.group_duplicates(_hashed(spark, sf), ["near_dup_hash"], {"src_urls": "src_url", "trg_urls": "trg_url"})
 
 
-@query(f"WITH {SEG}, {_HASH} SELECT conv_id, turn, bifixer_hash FROM (SELECT *, row_number() OVER (PARTITION BY bifixer_hash ORDER BY bicleaner_score DESC, src_text, trg_text, src_url, trg_url, turn) AS k FROM h) WHERE k = 1")
+@query(f"WITH {SEG}, {_HASH} SELECT conv_id, turn, near_dup_hash FROM (SELECT *, row_number() OVER (PARTITION BY near_dup_hash ORDER BY pair_score DESC, src_text, trg_text, src_url, trg_url, turn) AS k FROM h) WHERE k = 1")
 def dedup_best(spark, sf):
     s = _hashed(spark, sf)
-    return cleaning.best_of_duplicates(s, ["bifixer_hash"], [*cleaning.corpus_order(s), F.col("turn")]).select("conv_id", "turn", "bifixer_hash")
+    return cleaning.best_of_duplicates(s, ["near_dup_hash"], [*cleaning.corpus_order(s), F.col("turn")]).select("conv_id", "turn", "near_dup_hash")
 
 
 @query(f"WITH {SEG} SELECT count(*) AS sentence_pairs, CAST(sum(len(list_filter(string_split_regex(src_text, '\\s+'), lambda x: x <> ''))) AS BIGINT) AS src_words, CAST(sum(len(list_filter(string_split_regex(trg_text, '\\s+'), lambda x: x <> ''))) AS BIGINT) AS trg_words FROM seg")
@@ -628,12 +628,12 @@ def parallel_clean(spark, sf):
 
 @query(f"WITH {SEG} SELECT conv_id, turn, round(CAST(least(length(src_text), length(trg_text)) AS DOUBLE) / greatest(length(src_text), length(trg_text)) * CASE WHEN regexp_replace(src_text, '[^0-9]', '', 'g') = regexp_replace(trg_text, '[^0-9]', '', 'g') THEN 1.0 ELSE 0.5 END * CASE WHEN regexp_replace(lower(src_text), '[^\\p{{L}}\\p{{N}}\\p{{M}}_]', '', 'g') = regexp_replace(lower(trg_text), '[^\\p{{L}}\\p{{N}}\\p{{M}}_]', '', 'g') THEN 0.0 ELSE 1.0 END, 4) AS score FROM seg")
 def pair_scores(spark, sf):
-    return cleaning.score_distinct(segments(spark, sf).drop("bicleaner_score"), name="score").select("conv_id", "turn", "score")
+    return cleaning.score_distinct(segments(spark, sf).drop("pair_score"), name="score").select("conv_id", "turn", "score")
 
 
 @query()
-def bifixed(spark, sf):
-    return cleaning.add_bifixer(segments(spark, sf)).select("conv_id", "turn", "src_text", "trg_text", "bifixer_hash", "bifixer_score")
+def repaired(spark, sf):
+    return cleaning.add_repair(segments(spark, sf)).select("conv_id", "turn", "src_text", "trg_text", "near_dup_hash", "repair_score")
 
 
 @query()

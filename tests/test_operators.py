@@ -137,11 +137,11 @@ def test_alignment_cleaning(spark):
 
 def test_duplicates(spark):
     rows = [("h1", 0.5, "b", "x", "u2", "v"), ("h1", 0.9, "a", "x", "u1", "v"), ("h2", 0.1, "c", "y", "u3", "v"), ("h2", 0.1, "b", "y", "u3", "v")]
-    d = spark.createDataFrame(rows, "bifixer_hash string, bifixer_score double, src_text string, trg_text string, src_url string, trg_url string")
-    best = cleaning.best_of_duplicates(d, ["bifixer_hash"], cleaning.corpus_order(d))
-    assert {(r["bifixer_hash"], r["src_text"]) for r in best.collect()} == {("h1", "a"), ("h2", "b")}  # the last group's first row too
-    assert cleaning.best_of_duplicates(best, ["bifixer_hash"], cleaning.corpus_order(best)).count() == 2
-    assert {tuple(r["s"]) for r in cleaning.group_duplicates(d, ["bifixer_hash"], {"s": "src_url"}).collect()} == {("u1", "u2"), ("u3",)}
+    d = spark.createDataFrame(rows, "near_dup_hash string, repair_score double, src_text string, trg_text string, src_url string, trg_url string")
+    best = cleaning.best_of_duplicates(d, ["near_dup_hash"], cleaning.corpus_order(d))
+    assert {(r["near_dup_hash"], r["src_text"]) for r in best.collect()} == {("h1", "a"), ("h2", "b")}  # the last group's first row too
+    assert cleaning.best_of_duplicates(best, ["near_dup_hash"], cleaning.corpus_order(best)).count() == 2
+    assert {tuple(r["s"]) for r in cleaning.group_duplicates(d, ["near_dup_hash"], {"s": "src_url"}).collect()} == {("u1", "u2"), ("u3",)}
     keys = pairs(spark, [("A, b!", "c"), ("a b", "C."), ("a b", "d")]).select(cleaning.near_duplicate_key(F.col("src_text"), F.col("trg_text")).alias("k"))
     assert keys.distinct().count() == 2
 
@@ -232,11 +232,11 @@ def test_pipeline(spark):
     body = "<p>This house has a red door and two very large windows. Nobody lives in the old house now.</p>"
     rows = [(1, "http://a.org/en", f'<html lang="en">{body}</html>'), (2, "http://a.org/fr", f'<html lang="fr">{body}<p>Autre phrase entre nous et le monde.</p></html>'), (3, "http://b.org/fr", '<html lang="fr"><p>Rien de commun avec les autres pages du site.</p></html>'), (4, "http://a.org/x.gif", '<html lang="en"></html>'), (5, "http://b.org/q", '<html lang="en"><p>Something else entirely on this other page here.</p></html>')]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
-    config = {"min_df": 1, "bicleaner": False, "elrc": True}
+    config = {"min_df": 1, "score_pairs": False, "elrc": True}
     assert pipeline.run(pages, Config.of({**config, "until": "preprocess"})).count() == 4
     out = pipeline.run(pages, Config.of(config)).collect()
     assert {(r["src_url"], r["trg_url"]) for r in out} == {("http://a.org/en", "http://a.org/fr")} and len(out) == 2
-    assert {"bifixer_hash", "length_ratio", "src_urls"} <= set(out[0].asDict())
+    assert {"near_dup_hash", "length_ratio", "src_urls"} <= set(out[0].asDict())
     lexical = pipeline.run(pages, Config.of({"document_aligner": "lexicon", "segment_aligner": "length", "until": "docalign", "doc_threshold": 0.2})).collect()
     assert (1, 2) in {(r["src_idx"], r["trg_idx"]) for r in lexical}
 
