@@ -36,6 +36,7 @@ _CUT_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adbox|adslot|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu\w*|breadcrumbs?|sidebar\w*|side-?bar|aside|footer\w*|header|masthead|topbar|comments?|commentlist|respond|replies|disqus\w*|discussion|cookies?|consent\w*|gdpr|notices?|popup|modal|overlay|newsletter|subscri\w*|signup|login|share|sharing|social\w*|related|recommend\w*|widgets?|pagination|pager|toolbar|skip-?link|disclaimer|copyright)(?:$|[\s_-])",
     re.I,
 )
+_BESIDE = ("has-", "no-", "with-", "without-", "hide-", "show-")
 #: Open elements that a start tag ends, and where the search for them stops.
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
@@ -53,9 +54,10 @@ class Tree:
         return len(self.tag) - 1
 
 
-def parse(html: str, prune: bool = True) -> Tree:
+def parse(html: str, prune: bool = True, names: bool = True) -> Tree:
     """Forgiving, linear in the page: unclosed and stray tags are mended as browsers do, roughly.
-    ``prune`` marks parts that are no article text; scripts, styles and comments never count."""
+    ``prune`` marks parts that are no article text, by class and id too if ``names``; scripts,
+    styles and comments never count."""
     tree, stack, at, article = Tree(), [0], 0, 0
     text = tree.pieces.append
     find = _TOKEN.search
@@ -90,7 +92,7 @@ def parse(html: str, prune: bool = True) -> Tree:
         elif name == "br":
             text((stack[-1], None))
         attributes = m[3] or m[6] or ""
-        cut = prune and (name in _CUT_TAGS or (name == "header" and not article) or (bool(attributes) and name not in ("html", "body", "article", "main") and _boilerplate(attributes)) or (name == "article" and bool(attributes) and _boilerplate(attributes)))
+        cut = prune and (name in _CUT_TAGS or (name == "header" and not article) or (bool(attributes) and name not in ("html", "body", "article", "main") and _boilerplate(attributes, names)) or (name == "article" and bool(attributes) and _boilerplate(attributes, names)))
         cut = cut or name in ("script", "style", "template", "noscript", "head", "title")
         node = tree.add(stack[-1], name, cut or tree.cut[stack[-1]])
         if name in RAW and not attributes.endswith("/") or name == "script":
@@ -127,11 +129,13 @@ def _end_implied(tree: Tree, stack: list[int], name: str) -> None:
                     break
 
 
-def _boilerplate(attributes: str) -> bool:
+def _boilerplate(attributes: str, names: bool) -> bool:
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = (m[1] or m[5]).lower(), m[2] or m[3] or m[4] or ""
-        if key in ("class", "id") and _CUT_NAMES.search(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", value)):
-            return True
+        if names and key in ("class", "id"):
+            for token in value.split():  # has-sidebar is said of what stands beside one
+                if not token.lower().startswith(_BESIDE) and _CUT_NAMES.search(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", token)):
+                    return True
         if key == "role" and value.lower() in _CUT_ROLES or key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
             return True
         if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
@@ -169,7 +173,10 @@ def main_text(html: str | None) -> str:
     """The article of a page; empty if there is none."""
     if not html:
         return ""
-    tree = parse(html)
+    return _content(parse(html)) or _content(parse(html, names=False))
+
+
+def _content(tree: Tree) -> str:
     n, parent, tag, cut = len(tree.tag), tree.parent, tree.tag, tree.cut
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n
