@@ -34,8 +34,21 @@ def ngrams(t: Column, n: int) -> Column:
     return F.when(F.size(t) >= n, grams).otherwise(F.array().cast("array<string>"))
 
 
+_MARKS = "[" + "".join("\\" + c if c.isascii() else c for c in PUNCTUATION) + "]+"
+
+
+def _plain_end(char: Column) -> Column:
+    """True of ASCII letters and digits and of Latin letters beyond: none is among the marks."""
+    c = F.ascii(char)
+    return c.between(97, 122) | c.between(48, 57) | c.between(65, 90) | c.between(192, 591)
+
+
 def strip_punctuation(word: Column) -> Column:
-    return F.btrim(word, F.lit(PUNCTUATION))
+    """Most words have letters at both ends, or one mark at the last, which is cheap to see; the
+    others go by a pattern."""
+    first, last = _plain_end(word), F.substring(word, -1, 1)
+    one = first & last.isin(*".,;:!?") & _plain_end(F.substring(word, -2, 1))
+    return F.when(first & _plain_end(last), word).when(one, F.substring(word, F.lit(1), F.length(word) - 1)).otherwise(F.regexp_replace(word, f"^{_MARKS}|{_MARKS}$", ""))
 
 
 def encode64(text: Column) -> Column:
