@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 
 from .common import without
 
-#: Masks over 9 and 8 tokens: 1 is compared, 0 ignored. With three masks of differing shape a
-#: substitution at one place leaves another mask, or a shifted window, untouched.
-MASKS = ("110101011", "101100111", "11100111")
+#: Masks: 1 is compared, 0 ignored. Together they lose nothing: every segment of 12 or more tokens
+#: with at most a fifth substituted holds a window that one of them accepts (all placements up to 26
+#: tokens enumerated; a longer segment falls into parts of 12 to 23, one of which is as equal).
+MASKS = ("111111", "110011011", "111000111", "111000000111")
 #: Bytes of test seeds up to which they are broadcast (about 40 a seed); beyond, both sides are shuffled.
 BROADCAST_BYTES = 64 << 20
 SEED_BYTES = 40
@@ -49,12 +50,12 @@ def overlaps(docs: DataFrame, tests: DataFrame, min_overlap: int = 12, min_match
     """Every document that holds a passage of a test item: doc_id, item_id, matched,
     aligned, item_tokens, item_start, doc_start.
 
-    ``tests``: item_id, text. On each diagonal with a seed hit, the best segment is the one
-    with most tokens under a score of +1 for an equal and -2 for a substituted token
-    (an ungapped extension both ways). It counts if it has ``min_overlap`` aligned
-    tokens (or all of a shorter item's, if those are at least the shortest mask) and
-    ``min_match`` of them equal. One row per (document, item): the segment with most equal
-    tokens, then the first. Null and empty texts and items, and items shorter than the shortest
+    ``tests``: item_id, text. A diagonal with a seed hit counts if any of its ungapped segments
+    of ``min_overlap`` or more aligned tokens (or all of a shorter item's, if those are at least
+    the shortest mask) has ``min_match`` of them equal. One row per (document, item): the
+    segment with most equal tokens, then the first, without substituted tokens at its ends as
+    far as ``min_overlap`` lets them go. The default masks miss no segment of the default rule;
+    looser rules need others. Null and empty texts and items, and items shorter than the shortest
     mask, match nothing; null ids are kept as a value; repeated rows give one row per id;
     empty tables give no rows. Other columns aren't read.
     """
@@ -77,9 +78,11 @@ def overlaps(docs: DataFrame, tests: DataFrame, min_overlap: int = 12, min_match
         aligned = aligned.select("doc_id", "item_id", "shift", "item_t", _laid_over(F.col("t"), F.col("shift"), F.size("item_t")).alias("part"))
     # one row a diagonal; the part is no longer than the item
     once = aligned.groupBy("doc_id", "item_id", "shift").agg(F.any_value("part").alias("part"), F.any_value("item_t").alias("item_t"))
-    scored = once.select("doc_id", "item_id", "shift", F.size("item_t").alias("item_tokens"), _best_segment(F.col("part"), F.col("item_t")).alias("s"))
-    least = F.least(F.lit(min_overlap), F.col("item_tokens"))
-    good = scored.filter((F.col("s.aligned") >= least) & (F.col("s.matched") >= min_match * F.col("s.aligned")))
+    least = F.least(F.lit(min_overlap), F.size("item_t"))
+    equal = once.select("doc_id", "item_id", "shift", F.size("item_t").alias("item_tokens"), least.alias("least"), _equal(F.col("part"), F.col("item_t"), F.col("shift")).alias("e"))
+    able = equal.filter(F.size(F.filter("e", lambda x: x)) >= F.floor(F.col("least") * min_match))
+    scored = able.select("doc_id", "item_id", "shift", "item_tokens", _best_segment(F.col("e"), F.col("shift"), F.col("least"), min_match).alias("s"))
+    good = scored.filter("s.aligned > 0")
     pick = F.struct(F.col("s.matched").alias("matched"), (-F.col("s.start")).alias("from_end"), (-F.col("shift")).alias("back"), F.col("s.aligned").alias("aligned"), "item_tokens")
     best = good.groupBy("doc_id", "item_id").agg(F.max(pick).alias("b"))
     return best.select(
@@ -100,32 +103,49 @@ def _laid_over(t: Column, shift: Column, n: Column) -> Column:
     return F.concat(F.array_repeat(F.lit(None).cast("string"), front), inner)
 
 
-def _best_segment(part: Column, item: Column) -> Column:
-    """(aligned, matched, start) of the segment with the largest score; of equal ones the first."""
-    equal = F.transform(item, lambda w, i: F.coalesce(F.get(part, i) == w, F.lit(False)))
-    zero = F.lit(0)
-    start = F.struct(
-        zero.alias("at"), zero.alias("score"), zero.alias("from"), zero.alias("hits"), zero.alias("top"), zero.alias("aligned"), zero.alias("matched"), zero.alias("start")
-    )
+def _equal(part: Column, item: Column, shift: Column) -> Column:
+    """For each place where both texts have a token, whether it is the same."""
+    front = F.greatest(-shift, F.lit(0))
+    pairs = F.arrays_zip(part.alias("a"), F.slice(item, 1, F.size(part)).alias("b"))
+    return F.slice(F.transform(pairs, lambda x: F.coalesce(x["a"] == x["b"], F.lit(False))), front + 1, F.size(part))
+
+
+def _best_segment(equal: Column, shift: Column, least: Column, min_match: float) -> Column:
+    """(aligned, matched, start in the item) of the segment of ``least`` places or more, ``min_match``
+    of them equal, with most equal; of such ones the first to end. Without one, aligned is 0.
+
+    Up to each place the balance sums 1 - ``min_match`` for an equal token and -``min_match`` for a
+    substituted one (in millionths, so exact). A segment will do if the balance doesn't fall over it; the
+    longest that ends at a place begins at the first place whose balance is no higher, which is always
+    one where the balance was lower than ever before (``lows``).
+    """
+    share, zero = round(min_match * 1_000_000), F.lit(0)
+    low = lambda at, balance, hits: F.struct(at.alias("at"), balance.alias("balance"), hits.alias("hits"))
+    found = lambda matched, end, start: F.struct(matched.alias("matched"), (-end).alias("back"), start.alias("start"))
+    first = low(zero, F.lit(0).cast("long"), zero)
+    begin = F.struct(zero.alias("at"), F.lit(0).cast("long").alias("balance"), zero.alias("hits"), F.array(first).alias("lows"), found(zero, zero, zero).alias("best"))
 
     def step(a: Column, e: Column) -> Column:
-        anew = a["score"] <= 0
-        score = F.when(anew, zero).otherwise(a["score"]) + F.when(e, 1).otherwise(-2)
-        begin = F.when(anew, a["at"]).otherwise(a["from"])
-        hits = F.when(anew, zero).otherwise(a["hits"]) + e.cast("int")
-        better = score > a["top"]
+        at, hits = a["at"] + 1, a["hits"] + e.cast("int")
+        balance = a["balance"] + F.when(e, 1_000_000 - share).otherwise(-share).cast("long")
+        start = F.get(F.filter(a["lows"], lambda x: x["balance"] <= balance), F.lit(0))
+        here = F.when(at - start["at"] >= least, found(hits - start["hits"], at, start["at"]))
+        lower = balance < F.element_at(a["lows"], -1)["balance"]
         return F.struct(
-            (a["at"] + 1).alias("at"),
-            score.alias("score"),
-            begin.alias("from"),
+            at.alias("at"),
+            balance.alias("balance"),
             hits.alias("hits"),
-            F.greatest(score, a["top"]).alias("top"),
-            F.when(better, a["at"] + 1 - begin).otherwise(a["aligned"]).alias("aligned"),
-            F.when(better, hits).otherwise(a["matched"]).alias("matched"),
-            F.when(better, begin).otherwise(a["start"]).alias("start"),
+            F.when(lower, F.array_append(a["lows"], low(at, balance, hits))).otherwise(a["lows"]).alias("lows"),
+            F.greatest(a["best"], here).alias("best"),
         )
 
-    return F.aggregate(equal, start, step, lambda a: F.struct(a["aligned"].alias("aligned"), a["matched"].alias("matched"), a["start"].alias("start")))
+    def trimmed(a: Column) -> Column:
+        end, start = -a["best"]["back"], a["best"]["start"]
+        ahead = F.array_position(F.slice(equal, start + 1, F.greatest(end - start, F.lit(0))), True).cast("int") - 1
+        start = F.when(end > 0, F.least(start + ahead, end - least)).otherwise(0)
+        return F.struct((end - start).alias("aligned"), a["best"]["matched"].alias("matched"), (start + F.greatest(-shift, F.lit(0))).alias("start"))
+
+    return F.aggregate(equal, begin, step, trimmed)
 
 
 def drop_contaminated(docs: DataFrame, tests: DataFrame, **options) -> DataFrame:
