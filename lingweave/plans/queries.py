@@ -646,13 +646,13 @@ def roam_corpus(spark, sf):
 
 
 def _corpus(spark, sf):
-    s = cleaning.clean_parallel(segments(spark, sf), most=40)
+    s = cleaning.clean_parallel(segments(spark, sf))
     return s.select(F.xxhash64("conv_id", "turn").alias("pair_id"), "src_text", "trg_text")
 
 
 @query()
 def ibm1_lexicon(spark, sf):
-    return training.ibm1(_corpus(spark, sf), 2)
+    return training.ibm1(_corpus(spark, sf))
 
 
 _TABLES = """c AS (SELECT lower(source) AS s, lang AS t, CAST(count(*) AS DOUBLE) AS n FROM documents GROUP BY 1, 2),
