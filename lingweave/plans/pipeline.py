@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..operators import cleaning, docjoin, features, lexicon, matching, sentences, tfidf, training
 from ..sources import html
-from .config import Config
+from .config import UNTIL, Config
 
 
 def shard(docs: DataFrame, exponent: int) -> DataFrame:
@@ -33,7 +33,8 @@ def run(
     are Column functions: built-in expressions or pandas UDFs. ``dictionary``: src_word, trg_word."""
     c = config
     one, two = (c.lang2, c.lang1) if c.swapped else (c.lang1, c.lang2)
-    docs = html.preprocess(pages, c.languages or [c.lang1, c.lang2], c.boilerplate_cleaning, seen)
+    by_lexicon = c.document_aligner == "lexicon" and UNTIL.index(c.until) >= UNTIL.index("docalign")
+    docs = html.preprocess(pages, c.languages or [c.lang1, c.lang2], c.boilerplate_cleaning, seen, keep_html=by_lexicon)
     if c.until in ("crawl", "preprocess"):
         return docs
     docs = shard(docs, c.shards).withColumnRenamed("page_id", "doc_idx")
@@ -94,7 +95,7 @@ def _by_lexicon(docs: DataFrame, both: DataFrame, dictionary: DataFrame | None,
     index = matching.cut_lineage(lexicon.word_index(words, c.max_word_occurrences))
     same = lexicon.identical_words(index, "l1", "l2")
     table = same if dictionary is None else lexicon.extend_dictionary(dictionary, index, "l1", "l2")
-    pages = features.page_features(docs.withColumn("html", F.lit("")))
+    pages = features.page_features(docs)
 
     def ranked(one: str, two: str) -> DataFrame:
         d = table if one == "l1" else table.select(F.col("trg_word").alias("src_word"), F.col("src_word").alias("trg_word"))

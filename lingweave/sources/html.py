@@ -131,15 +131,15 @@ def wanted_languages(lang: Column, include: list[str] | None = None) -> Column:
     return ok & ~lang.isin(banned) if banned else ok
 
 
-def preprocess(pages: DataFrame, include: list[str] | None = None, deboilerplate: bool = False, seen: DataFrame | None = None) -> DataFrame:
+def preprocess(pages: DataFrame, include: list[str] | None = None, deboilerplate: bool = False, seen: DataFrame | None = None, keep_html: bool = False) -> DataFrame:
     """url, lang, text, text_hash: filters, normalises, extracts and keeps the first page of each text.
-    ``seen`` (text_hash) are texts of a former crawl."""
+    ``seen`` (text_hash) are texts of a former crawl. With ``keep_html`` also html, as given."""
     html = T.normalise_markup(F.col("html"))
-    out = pages.where(may_hold_text(F.col("url"))).select("page_id", "url", html.alias("html"))
+    out = pages.where(may_hold_text(F.col("url"))).select("page_id", "url", html.alias("html"), *[F.col("html").alias("raw")] * keep_html)
     out = out.withColumn("lang", page_language(F.col("html"))).where(wanted_languages(F.col("lang"), include))
     out = out.withColumn("text", plain_text(F.col("html")) if deboilerplate else html_to_text(F.col("html"))).where("text <> ''")
     out = out.withColumn("text_hash", F.xxhash64("text"))
     if seen is not None:
         out = out.join(seen.select("text_hash"), "text_hash", "left_anti")
-    best = out.groupBy("text").agg(F.min_by(F.struct("page_id", "url", "lang", "text_hash"), "page_id").alias("b"))
-    return best.select("b.page_id", "b.url", "b.lang", "text", "b.text_hash")
+    best = out.groupBy("text").agg(F.min_by(F.struct("page_id", "url", "lang", "text_hash", *["raw"] * keep_html), "page_id").alias("b"))
+    return best.select("b.page_id", "b.url", "b.lang", "text", "b.text_hash", *[F.col("b.raw").alias("html")] * keep_html)

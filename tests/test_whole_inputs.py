@@ -4,7 +4,9 @@ import collections
 
 import pytest
 
-from lingweave.plans import queries
+from lingweave.operators import training
+from lingweave.plans import pipeline, queries
+from lingweave.plans.config import Config
 
 
 def em(pairs, rounds):
@@ -32,3 +34,19 @@ def test_ibm1_lexicon_trains_on_segments_of_80_words_in_5_rounds(spark, tmp_path
     got = {(r["s"], r["t"]): r["p"] for r in queries.ibm1_lexicon(spark, str(tmp_path)).collect()}
     want = em([(turns[0][2], turns[1][2]), (turns[2][2], turns[3][2])], 5)
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], rel=1e-6) for k in want)
+
+
+def test_lexicon_alignment_ranks_by_page_features(spark, monkeypatch):
+    """The pages' links, images and tags reach the ranking of the whole run."""
+    seen = []
+    rank = training.rank
+    monkeypatch.setattr(training, "rank", lambda candidates, **options: (seen.append(candidates), rank(candidates, **options))[1])
+    body = '<img src="a.png"><a href="http://a.org/en">x</a><a href="/q">Cathedral</a><p>House with two windows, number 77.</p>'
+    rows = [(1, "http://a.org/en", f'<html lang="en">{body}</html>'), (2, "http://a.org/fr", f'<html lang="fr">{body}<p>Autre phrase.</p></html>')]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    config = Config.of({"document_aligner": "lexicon", "segment_aligner": "length", "until": "docalign"})
+    pipeline.run(pages, config).collect()
+    for candidates in seen:
+        (r,) = candidates.collect()
+        assert r["images_overlap_score"] == r["urls_overlap_score"] == 1 and 0 < r["structure_distance"] < 1
+    assert sorted(c.collect()[0]["src_doc_linked_by_trg_doc"] for c in seen) == [0, 1]
