@@ -34,9 +34,11 @@ def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
 # --- inputs -------------------------------------------------------------------
 
 
-def halves(spark: SparkSession, sf: str) -> DataFrame:
-    """English documents, even ids against odd ones, in place of a translated pair of collections."""
-    d = read(spark, sf, "documents").filter("lang = 'en'")
+def halves(spark: SparkSession, sf: str, lang: str | None = "en") -> DataFrame:
+    """Documents of ``lang`` (None: all), even ids against odd ones, in place of a translated pair of
+    collections. Queries with SQL read English alone, as it does."""
+    d = read(spark, sf, "documents")
+    d = d if lang is None else d.filter(F.col("lang") == lang)
     return d.select(F.when(F.col("doc_id") % 2 == 0, "src").otherwise("trg").alias("side"), F.col("doc_id").alias("doc_idx"), F.lower("text").alias("text"))
 
 
@@ -63,8 +65,8 @@ def page_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return side("fr", "src").join(side("en", "trg"), "host")
 
 
-def languages(spark: SparkSession, sf: str) -> DataFrame:
-    d = halves(spark, sf)
+def languages(spark: SparkSession, sf: str, lang: str | None = "en") -> DataFrame:
+    d = halves(spark, sf, lang)
     return d.select(F.when(F.col("side") == "src", "l1").otherwise("l2").alias("lang"), "doc_idx", "text")
 
 
@@ -169,8 +171,8 @@ def word_index_maxocc(spark, sf):
     return lexicon.word_index(languages(spark, sf), 15)
 
 
-def _index(spark, sf):
-    return matching.cut_lineage(lexicon.word_index(languages(spark, sf), 15))
+def _index(spark, sf, lang="en"):
+    return matching.cut_lineage(lexicon.word_index(languages(spark, sf, lang), 15))
 
 
 def _bow(index, one, two):
@@ -195,8 +197,8 @@ def identical_word_dictionary(spark, sf):
     return lexicon.identical_words(lexicon.word_index(languages(spark, sf)), "l1", "l2")
 
 
-def _both_ways(spark, sf):
-    index = _index(spark, sf)
+def _both_ways(spark, sf, lang="en"):
+    index = _index(spark, sf, lang)
     forward = _bow(index, "l1", "l2").select("src_idx", "trg_idx", F.round("bow_overlap_score", 9).alias("score"))
     back = _bow(index, "l2", "l1").select(F.col("trg_idx").alias("src_idx"), F.col("src_idx").alias("trg_idx"), F.round("bow_overlap_score", 9).alias("score"))
     return forward, back
@@ -215,7 +217,7 @@ def mutual_best(spark, sf):
 
 @query()
 def mutual_converge(spark, sf):
-    return matching.reconcile(*_both_ways(spark, sf))
+    return matching.reconcile(*_both_ways(spark, sf, None))
 
 
 # --- page features ------------------------------------------------------------
@@ -403,7 +405,7 @@ def base64_round_trip(spark, sf):
 
 
 def _document_pairs(spark, sf):
-    m = tfidf_doc_match(spark, sf)
+    m = matching.greedy_match(tfidf.similarity(halves(spark, sf, None))).select("src_idx", "trg_idx", F.round("score", 5).alias("score"))
     d = read(spark, sf, "documents").select(F.col("doc_id").alias("doc_idx"), "text")
     p = docjoin.join_documents(m, d, d, ["text"])
     return p.select("src_idx", "trg_idx", F.filter(F.split("src_text", "\n"), lambda x: x != "").alias("src_sents"), F.filter(F.split("trg_text", "\n"), lambda x: x != "").alias("trg_sents"))

@@ -50,3 +50,12 @@ def test_lexicon_alignment_ranks_by_page_features(spark, monkeypatch):
         (r,) = candidates.collect()
         assert r["images_overlap_score"] == r["urls_overlap_score"] == 1 and 0 < r["structure_distance"] < 1
     assert sorted(c.collect()[0]["src_doc_linked_by_trg_doc"] for c in seen) == [0, 1]
+
+
+def test_queries_without_sql_read_all_languages(spark, tmp_path):
+    text = lambda n: "\n".join(f"mot{n}x{i} suite{n}x{i} fin{n}x{i}" for i in range(4))
+    rows = [(2, text(1), "fr"), (3, text(1), "fr"), (4, text(2), "de"), (5, text(2), "de"), (6, text(3), "en"), (7, text(3), "en")]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    for name in ("mutual_converge", "length_align"):
+        got = queries.QUERIES[name](spark, str(tmp_path)).select("src_idx", "trg_idx").distinct().collect()
+        assert {tuple(r) for r in got} == {(2, 3), (4, 5), (6, 7)}
