@@ -1,8 +1,14 @@
-"""SimHash near-duplicate detection with multi-index hashing."""
+"""SimHash near-duplicate detection with multi-index hashing.
+
+Fingerprints are cut into segments, each with a table of its values. Small Hamming balls of
+segment values are enumerated (a wider ball is met from both sides), table matches are
+fetched, and the whole fingerprints' distance is verified.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -63,6 +69,29 @@ def _majority(hashes: list[np.ndarray], sizes: list[int]) -> np.ndarray:
     return np.ascontiguousarray(on).view("<u8").ravel()
 
 
+def word_fingerprint(words: list[bytes], seed: int) -> int:
+    """64-bit SimHash of the distinct words, each weighing the logarithm of its count plus one: far
+    less is changed by an edited word than with n-grams, and one frequent word can't decide alone."""
+    counts = Counter(words)
+    hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in counts), np.uint64, len(counts))
+    weight = np.log1p(np.fromiter(counts.values(), np.float64, len(counts)))
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return int(np.packbits(2 * (weight @ bits) > weight.sum(), bitorder="little").view("<u8")[0])
+
+
+def paired_fingerprints(docs: DataFrame, n: int = 3, seed: int = 42) -> DataFrame:
+    """doc_id, fp (of words), v (of n-grams), both signed; texts without words get zero twice."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts = b.column(1).to_pylist()
+            words = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts]
+            fp = np.array([word_fingerprint(w, seed) if w else 0 for w in words], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), pa.array(_fingerprints(texts, n, seed).view(np.int64))], ["doc_id", "fp", "v"])
+
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long, v long")
+
+
 def fingerprints(docs: DataFrame, n: int = 3, seed: int = 42) -> DataFrame:
     """doc_id, fp (the 64 bits as a signed long). Text crosses to Python in Arrow
     batches and is never shuffled. Null, empty and blank texts get zero."""
@@ -93,51 +122,70 @@ def _plan(low: int, width: int, distance: int, parts: int = 2) -> list[tuple[int
     return [x for x in plan if x[2] >= 0]
 
 
-def near_links(classes: DataFrame, distance: int = 2, hot_bucket: int = HOT_BUCKET) -> DataFrame:
-    """Pairs of distinct fingerprints that differ in at most ``distance`` bits, once each:
-    fp, n, id, fp2, n2, id2 with fp < fp2. ``classes``: fp, n, id, one row per fingerprint.
+def near_links(classes: DataFrame, distance: int = 2, hot_bucket: int = HOT_BUCKET, parts: int = 2, columns: tuple[str, ...] = ("fp", "n", "id"), also: Callable[[Column, Column], Column] | None = None) -> DataFrame:
+    """Pairs of distinct fingerprints that differ in at most ``distance`` bits, once each: the
+    ``columns`` (fp first) of one and, with a 2 behind their names, of the other, the lesser one first.
+    ``classes``: one row per fingerprint, or per fingerprint and the column after it. ``also`` is a
+    further condition on both rows.
 
-    Every segment of the fingerprint has a table of its values; the probing side
-    enumerates the Hamming ball of the segment's radius. A pair counts only in the
-    first segment whose radius it meets, so none comes twice. Buckets that hold more
-    than ``hot_bucket`` fingerprints are keyed further by a segment of the remaining
-    bits, again with balls, so that no bucket's square is compared.
+    Every segment of the fingerprint has a table of its values; the probing side enumerates
+    the Hamming ball of the segment's radius. A radius over 1 is shared with the table, whose
+    rows then come once for each value of the smaller ball. A pair counts only in the first
+    segment whose radius it meets, and there at one value, so none comes twice. Buckets that hold more
+    than ``hot_bucket`` fingerprints are keyed further by segments of the remaining
+    bits, again with balls, so that they are compared in parts; only fingerprints that are near
+    in those too meet.
     """
-    halves = _plan(0, BITS, distance)
-    table = classes.select(
-        F.explode(F.array(*[F.struct(F.lit(i).alias("seg"), _segment(F.col("fp"), lo, w).alias("val")) for i, (lo, w, _) in enumerate(halves)])).alias("k"),
-        F.struct("fp", "n", "id").alias("t"),
-    ).select("k.*", "t")
-    probes = _probe(classes.select(F.struct("fp", "n", "id").alias("p")), F.col("p.fp"), halves)
-    hot = table.groupBy("seg", "val").count().filter(F.col("count") > hot_bucket).select("seg", "val", F.lit(True).alias("hot"))
-    hot = spool(hot, "simhash-hot")
-    first = _meets_first(halves, F.col("p.fp"), F.col("t.fp"), F.col("seg"))
-    near = F.bit_count(F.col("p.fp").bitwiseXOR(F.col("t.fp"))) <= distance
-    order = F.col("p.fp") < F.col("t.fp")
+    plan = _plan(0, BITS, distance, parts)
+    rows = lambda name: classes.select(F.struct(*columns).alias(name))
+    table, probes = _keyed(rows("t"), "t", plan, False), _keyed(rows("p"), "p", plan, True)
+    hot = spool(table.groupBy("seg", "val").count().filter(F.col("count") > hot_bucket).select("seg", "val"), "simhash-hot")
+    p, t = F.col("p.fp"), F.col("t.fp")
+    near = (F.col("p") < F.col("t")) & (F.bit_count(p.bitwiseXOR(t)) <= distance) & _meets_first(plan, p, t, F.col("seg")) & _meets_once(plan, p, t, F.col("seg"), F.col("val"))
+    near = near & also(F.col("p"), F.col("t")) if also else near
+    names = [F.col(f"p.{c}").alias(c) for c in columns] + [F.col(f"t.{c}").alias(f"{c}2") for c in columns]
     if hot.isEmpty():
-        pairs = probes.join(table, ["seg", "val"]).filter(order & near & first)
-        return _flat(pairs)
-    usual = probes.join(hot, ["seg", "val"], "left_anti").join(table, ["seg", "val"]).filter(order & near & first)
-    found = _flat(usual)
-    for i, (lo, w, _) in enumerate(halves):
-        other = _plan(w if lo == 0 else 0, BITS - w, distance)
-        keys = hot.filter(F.col("seg") == i).select("seg", "val")
-        inner = table.join(keys, ["seg", "val"], "left_semi").select(
-            "seg", "val", "t", F.explode(F.array(*[F.struct(F.lit(j).alias("sub"), _segment(F.col("t.fp"), a, b).alias("subval")) for j, (a, b, _) in enumerate(other)])).alias("k")
-        ).select("seg", "val", "t", "k.*")
-        outer = _probe(probes.join(keys, ["seg", "val"], "left_semi"), F.col("p.fp"), other, "sub", "subval")
-        both = outer.join(inner, ["seg", "val", "sub", "subval"]).filter(order & near & first & _meets_first(other, F.col("p.fp"), F.col("t.fp"), F.col("sub")))
-        found = found.unionByName(_flat(both))
+        return probes.join(table, ["seg", "val"]).filter(near).select(*names)
+    found = probes.join(hot, ["seg", "val"], "left_anti").join(table, ["seg", "val"]).filter(near).select(*names)
+    for i, (lo, w, _) in enumerate(plan):
+        other = _rest(lo, w, distance, parts)
+        keys = hot.filter(F.col("seg") == i)
+        inner = _keyed(table.join(keys, ["seg", "val"], "left_semi"), "t", other, False, "sub", "subval")
+        outer = _keyed(probes.join(keys, ["seg", "val"], "left_semi"), "p", other, True, "sub", "subval")
+        once = _meets_first(other, p, t, F.col("sub")) & _meets_once(other, p, t, F.col("sub"), F.col("subval"))
+        found = found.unionByName(outer.join(inner, ["seg", "val", "sub", "subval"]).filter(near & once).select(*names))
     return found
 
 
-def _probe(rows: DataFrame, fp: Column, plan: list, seg: str = "seg", val: str = "val") -> DataFrame:
+def _rest(low: int, width: int, distance: int, parts: int) -> list[tuple[int, int, int]]:
+    """A plan over the bits beside a segment: its widest neighbour side first, so segments are runs of bits."""
+    sides = [(0, low), (low + width, BITS - low - width)]
+    at, size = max(sides, key=lambda x: x[1])
+    return _plan(at, size, distance, parts)
+
+
+def _keyed(rows: DataFrame, name: str, plan: list, probing: bool, seg: str = "seg", val: str = "val") -> DataFrame:
+    """``rows`` once for each value of their part of each segment's ball."""
+
     def keys(i: int, lo: int, w: int, r: int) -> Column:
-        masks = F.array(*[F.lit(m).cast("long") for m in _ball(w, r)])
-        return F.transform(masks, lambda m: F.struct(F.lit(i).alias(seg), _segment(fp, lo, w).bitwiseXOR(m).alias(val)))
+        masks = F.array(*[F.lit(m).cast("long") for m in _ball(w, _shared(r, probing))])
+        return F.transform(masks, lambda m: F.struct(F.lit(i).alias(seg), _segment(F.col(f"{name}.fp"), lo, w).bitwiseXOR(m).alias(val)))
+
+    return rows.withColumn("__k", F.explode(F.concat(*[keys(i, *x) for i, x in enumerate(plan)]))).select(*rows.columns, f"__k.{seg}", f"__k.{val}")
 
-    keys = F.concat(*[keys(i, *x) for i, x in enumerate(plan)])
-    return rows.withColumn("__k", F.explode(keys)).select(*rows.columns, f"__k.{seg}", f"__k.{val}")
+
+def _shared(radius: int, probing: bool) -> int:
+    return (radius + 1) // 2 if probing else radius // 2
+
+
+def _meets_once(plan: list, a: Column, b: Column, seg: Column, val: Column) -> Column:
+    """Of the values at which two balls meet, the one where the probing side flips the lowest bits."""
+    ok = F.lit(True)
+    for i, (lo, w, r) in enumerate(plan):
+        if _shared(r, False):
+            x, y = val.bitwiseXOR(_segment(a, lo, w)), val.bitwiseXOR(_segment(b, lo, w))
+            ok = ok & ((seg != i) | (y == 0) | ((F.bit_count(x) == _shared(r, True)) & (x < y.bitwiseAND(-y))))
+    return ok
 
 
 def _meets_first(plan: list, a: Column, b: Column, seg: Column) -> Column:
@@ -149,12 +197,6 @@ def _meets_first(plan: list, a: Column, b: Column, seg: Column) -> Column:
     return ok
 
 
-def _flat(pairs: DataFrame) -> DataFrame:
-    return pairs.select(
-        F.col("p.fp").alias("fp"), F.col("p.n").alias("n"), F.col("p.id").alias("id"), F.col("t.fp").alias("fp2"), F.col("t.n").alias("n2"), F.col("t.id").alias("id2")
-    )
-
-
 def simhash_near_dups(docs: DataFrame, n: int = 3, distance: int = 2, seed: int = 42, hot_bucket: int = HOT_BUCKET) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), n_near (other documents
     within ``distance`` bits), component_id (smallest doc_id reachable over such links).
@@ -180,6 +222,23 @@ def simhash_near_dups(docs: DataFrame, n: int = 3, distance: int = 2, seed: int
     return fps.join(marked, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "n_near", "component_id")
 
 
+def near_copies(docs: DataFrame, distance: int = 8, verify: int = 16, n: int = 3, seed: int = 42, hot_bucket: int = HOT_BUCKET) -> DataFrame:
+    """One row per document: doc_id, component_id (smallest doc_id reachable over links).
+
+    For removing near copies a wider net than :func:`simhash_near_dups`: documents link whose
+    word fingerprints differ in at most ``distance`` bits and whose n-gram fingerprints, which
+    travel along, in at most ``verify``. Texts without words link to each other; null doc_ids name no
+    component unless alone; an empty table gives no rows; other columns aren't read.
+    """
+    fps = spool(paired_fingerprints(docs, n, seed), "simhash-pairs")
+    classes = spool(fps.groupBy("fp", "v").agg(F.min("doc_id").alias("id")), "simhash-classes")
+    alike = lambda p, t: F.bit_count(p["v"].bitwiseXOR(t["v"])) <= verify
+    links = near_links(classes, distance, hot_bucket, 3, ("fp", "v", "id"), alike).select(F.col("id").alias("u"), F.col("id2").alias("v"))
+    roots = connected_components(links)
+    marked = classes.join(roots, F.col("id") == F.col("node"), "left").select("fp", "v", F.coalesce("root", "id").alias("component_id"))
+    return fps.join(marked, ["fp", "v"]).select("doc_id", "component_id")
+
+
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document, the smallest doc_id, of each component; all columns stay."""
-    return without(docs, simhash_near_dups(docs, **options).filter("doc_id <> component_id"))
+    """``docs`` with one document, the smallest doc_id, of each component of near copies; all columns stay."""
+    return without(docs, near_copies(docs, **options).filter("doc_id <> component_id"))

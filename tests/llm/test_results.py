@@ -57,16 +57,41 @@ def test_simhash(docs, texts, hot):
 def test_multi_index_hashing_misses_nothing(spark):
     rng = random.Random(2)
     base = [rng.getrandbits(64) for _ in range(12)]
-    fps = sorted({b ^ sum(1 << k for k in rng.sample(range(64), rng.randint(0, 5))) for b in base for _ in range(25)})
+    fps = sorted({b ^ sum(1 << k for k in rng.sample(range(64), rng.randint(0, 7))) for b in base for _ in range(25)})
     signed = [f - (1 << 64) if f >> 63 else f for f in fps]
     classes = spark.createDataFrame([(f, 1, i) for i, f in enumerate(signed)], "fp long, n long, id long")
-    for distance in (0, 1, 2, 3):
+    for distance, parts in ((0, 2), (1, 2), (2, 2), (3, 2), (5, 2), (8, 3)):
         want = {tuple(sorted((i, j))) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= distance}
-        for hot in (2000, 2):
-            rows = [tuple(sorted((r["id"], r["id2"]))) for r in simhash.near_links(classes, distance, hot).collect()]
+        for hot in (2000, 2) if distance < 5 else (2000, 30):
+            rows = [tuple(sorted((r["id"], r["id2"]))) for r in simhash.near_links(classes, distance, hot, parts).collect()]
             assert len(rows) == len(set(rows)) and set(rows) == want
 
 
+def weighed_fingerprint(text):
+    counts = collections.Counter((text or "").lower().encode().split())
+    hashes = {w: (xxhash.xxh64_intdigest(w, 42), math.log1p(n)) for w, n in counts.items()}
+    return sum(1 << b for b in range(64) if 2 * sum(x for h, x in hashes.values() if h >> b & 1) > sum(x for _, x in hashes.values()))
+
+
+def test_near_copies(docs, texts):
+    """Components of the wide net by brute force; near copies by shared 3-word shingles are in one."""
+    prints = {k: (weighed_fingerprint(t), simple_fingerprint(t)) for k, t in texts.items()}
+    group = {k: k for k in prints}
+
+    def root(x):
+        while group[x] != x:
+            x = group[x]
+        return x
+
+    for a in prints:
+        for b in prints:
+            if a < b and (prints[a][0] ^ prints[b][0]).bit_count() <= 8 and (prints[a][1] ^ prints[b][1]).bit_count() <= 16:
+                x, y = sorted((root(a), root(b)))
+                group[y] = x
+    got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(docs).collect()}
+    assert got == {k: root(k) for k in prints}
+
+
 def test_components(spark):
     rng = random.Random(4)
     edges = [(rng.randint(0, 60), rng.randint(0, 60)) for _ in range(45)] + [(100 + i, 101 + i) for i in range(30)]
