@@ -292,32 +292,41 @@ def test_packing(docs, texts):
     assert one <= 1.02 * sum(map(len, ids.values())) / 2048 + 1
 
 
-def test_sum_of_squares_is_least():
+@pytest.mark.parametrize("finish", [False, True])
+def test_sum_of_squares_is_least(finish):
     rng = np.random.default_rng(3)
     sizes = rng.integers(1, 30, 300)
-    where, offset = packing.sum_of_squares(sizes, 32)
+    where, offset = packing.sum_of_squares(sizes, 32, finish)
     open_bins = {}
-    for s, b, o in zip(sizes.tolist(), where.tolist(), offset.tolist()):
+    finished = 0
+    for k, (s, b, o) in enumerate(zip(sizes.tolist(), where.tolist(), offset.tolist())):
         def after(x, s=s):
-            gaps = collections.Counter(32 - f for k, f in open_bins.items() if k != x and f < 32)
-            left = 32 - open_bins[x] - s
+            gaps = collections.Counter(32 - f for y, f in open_bins.items() if y != x and f < 32)
+            left = 32 - open_bins.get(x, 0) - s
             gaps[left] += left > 0
             return sum(v * v for v in gaps.values())
 
         fits = [x for x, f in open_bins.items() if f + s <= 32]
-        if fits:
-            assert b in open_bins and after(b) == min(map(after, fits)) and o == open_bins[b]
+        done = finish and fits and sum(32 - f for f in open_bins.values()) >= sizes[k:].sum()
+        finished += bool(done)
+        assert after(b) == min(map(after, fits if done else [*fits, "new"])) and o == open_bins.get(b, 0)
         open_bins[b] = open_bins.get(b, 0) + s
-    assert max(open_bins.values()) <= 32
+    assert max(open_bins.values()) <= 32 and bool(finished) == finish
 
 
 def test_ids_equal_the_tokenizer():
-    words = packing.WordIds(tokenizer_path(), most=50)
+    from tokenizers import Tokenizer
+
+    words, fresh = packing.WordIds(tokenizer_path(), most=50), Tokenizer.from_file(tokenizer_path())
     rng = random.Random(1)
-    letters = "aBJj'sé.,!İΣß \t\n \x1c|<>1２日本é̇ﬁ<|endoftext|>̌_²K;"
-    for _ in range(1500):
-        x = "".join(rng.choice(letters) for _ in range(rng.randint(0, 30)))
-        assert np.frombuffer(words.encode([x])[0], "<u4").tolist() == words.tokenizer.encode(x, add_special_tokens=False).ids
+    letters = [*"aBJj'sé.,!İΣß \t\n \x1c|<>1２日本é̇ﬁ̌_²K;", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 30))) for _ in range(1500)]
+    for i in range(0, len(texts), 7):
+        for x, data in zip(texts[i : i + 7], words.encode(texts[i : i + 7])):
+            assert np.frombuffer(data, "<u4").tolist() == fresh.encode(x, add_special_tokens=False).ids
+    assert any("<|endoftext|>" in x and 49407 in np.frombuffer(words.encode([x])[0], "<u4") for x in texts)
+    plain = packing.WordIds(tokenizer_path(), special_as_text=True)
+    assert 49407 not in np.frombuffer(plain.encode(["a <|endoftext|> b"])[0], "<u4")
 
 
 def test_pipeline(spark, docs, texts):
