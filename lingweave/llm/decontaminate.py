@@ -3,8 +3,8 @@
 A seed is a window of tokens of which a fixed mask ignores some positions. Windows of
 test items and of training texts are hashed under each mask and joined; where two
 windows meet, the texts are laid over each other on that diagonal and compared token by
-token, so an overlap survives substituted words. Text is never shuffled: the join and
-the comparison work on one pass over the documents.
+token, so an overlap survives substituted words. While the items' seeds fit a broadcast, the join and
+the comparison work on one pass over the documents and only the parts laid under items are shuffled.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import without
+from .common import text_key, without
 
 #: Masks: 1 is compared, 0 ignored. Together they lose nothing: every segment of 12 or more tokens
 #: with at most a fifth substituted holds a window that one of them accepts (all placements up to 26
@@ -31,11 +31,11 @@ def tokens(text: Column) -> Column:
 def _seeds(t: Column, p: Column, masks: tuple[str, ...]) -> Column:
     """The window that starts at 0-based ``p`` under each mask; null where it doesn't fit."""
 
-    def one(i: int, mask: str) -> Column:
+    def one(mask: str) -> Column:
         picked = [F.get(t, p + k) for k, c in enumerate(mask) if c == "1"]
-        return F.when(p + len(mask) <= F.size(t), F.xxhash64(F.lit(i), *picked))
+        return F.when(p + len(mask) <= F.size(t), F.xxhash64(F.lit(int("1" + mask, 2)), *picked))
 
-    return F.array(*[one(i, m) for i, m in enumerate(masks)])
+    return F.array(*[one(m) for m in masks])
 
 
 def _windows(df: DataFrame, keep: list[str], masks: tuple[str, ...]) -> DataFrame:
@@ -46,48 +46,35 @@ def _windows(df: DataFrame, keep: list[str], masks: tuple[str, ...]) -> DataFram
     return at.select(*keep, "t", "p", F.explode(_seeds(F.col("t"), F.col("p"), masks)).alias("h")).filter("h is not null")
 
 
-def overlaps(docs: DataFrame, tests: DataFrame, min_overlap: int = 12, min_match: float = 0.8, masks: tuple[str, ...] = MASKS) -> DataFrame:
+def _seed_length(n: int, min_match: float) -> int:
+    """Of an item of ``n`` tokens shorter than an overlap: with k substitutions allowed one of k + 1 parts
+    is unchanged. Where such a part would have under three tokens, the whole item."""
+    part = n // (int(n * (1 - min_match) + 1e-9) + 1)
+    return part if part >= 3 else n
+
+
+def overlaps(docs: DataFrame, tests: DataFrame, min_overlap: int = 12, min_match: float = 0.8, masks: tuple[str, ...] = MASKS, least_item: int = 4) -> DataFrame:
     """Every document that holds a passage of a test item: doc_id, item_id, matched,
     aligned, item_tokens, item_start, doc_start.
 
-    ``tests``: item_id, text. A diagonal with a seed hit counts if any of its ungapped segments
-    of ``min_overlap`` or more aligned tokens (or all of a shorter item's, if those are at least
-    the shortest mask) has ``min_match`` of them equal. One row per (document, item): the
+    ``tests``: item_id, text. A diagonal counts if any of its ungapped segments
+    of ``min_overlap`` or more aligned tokens (or all of a shorter item's) has ``min_match`` of them
+    equal. One row per (document, item): the
     segment with most equal tokens, then the first, without substituted tokens at its ends as
-    far as ``min_overlap`` lets them go. The default masks miss no segment of the default rule;
-    looser rules need others. Null and empty texts and items, and items shorter than the shortest
-    mask, match nothing; null ids are kept as a value; repeated rows give one row per id;
-    empty tables give no rows. Other columns aren't read.
+    far as ``min_overlap`` lets them go. The default masks miss no segment of the default rule in items of
+    12 or more tokens; looser rules need others. Shorter items have unbroken seeds that miss nothing either
+    from 6 tokens on, 4 and 5 tokens are found unchanged, and items of under ``least_item`` tokens, which stand in too many
+    texts to tell, match nothing; so do null and empty texts and items. Null ids are kept as a value; rows that repeat a doc_id are compared each by its
+    own text and the best segment of them all is reported, and so are items that repeat an item_id; empty
+    tables give no rows. Other columns aren't read.
     """
-    items = tests.select(F.col("item_id"), tokens(F.col("text")).alias("t"))
-    seeds = _windows(items, ["item_id"], masks).select("h", "item_id", F.col("p").alias("item_p"), F.col("t").alias("item_t"))
-    table = seeds.select("h", F.struct("item_id", "item_p").alias("at")).distinct().groupBy("h").agg(F.collect_list("at").alias("at"))
-    n_seeds = seeds.count()
-    small = n_seeds * SEED_BYTES <= BROADCAST_BYTES
-    windows = _windows(docs.select(F.col("doc_id"), tokens(F.col("text")).alias("t")), ["doc_id"], masks)
-    if small:
-        met = windows.join(F.broadcast(table), "h").select("doc_id", "t", "p", F.explode("at").alias("at"))
-        diagonals = met.select("doc_id", "t", "at.item_id", (F.col("p") - F.col("at.item_p")).alias("shift"))
-        diagonals = diagonals.join(F.broadcast(items.withColumnRenamed("t", "item_t")), "item_id")
-        aligned = diagonals.select("doc_id", "item_id", "shift", "item_t", _laid_over(F.col("t"), F.col("shift"), F.size("item_t")).alias("part"))
-    else:
-        met = windows.select("doc_id", "p", "h").join(table, "h").select("doc_id", "p", F.explode("at").alias("at"))
-        diagonals = met.select("doc_id", "at.item_id", (F.col("p") - F.col("at.item_p")).alias("shift")).distinct()
-        texts = docs.select("doc_id", tokens(F.col("text")).alias("t"))
-        aligned = diagonals.join(texts, "doc_id").join(items.withColumnRenamed("t", "item_t"), "item_id")
-        aligned = aligned.select("doc_id", "item_id", "shift", "item_t", _laid_over(F.col("t"), F.col("shift"), F.size("item_t")).alias("part"))
-    # one row a diagonal; the part is no longer than the item
-    once = aligned.groupBy("doc_id", "item_id", "shift").agg(F.any_value("part").alias("part"), F.any_value("item_t").alias("item_t"))
-    least = F.least(F.lit(min_overlap), F.size("item_t"))
-    equal = once.select("doc_id", "item_id", "shift", F.size("item_t").alias("item_tokens"), least.alias("least"), _equal(F.col("part"), F.col("item_t"), F.col("shift")).alias("e"))
-    able = equal.filter(F.size(F.filter("e", lambda x: x)) >= F.floor(F.col("least") * min_match))
-    scored = able.select("doc_id", "item_id", "shift", "item_tokens", _best_segment(F.col("e"), F.col("shift"), F.col("least"), min_match).alias("s"))
-    good = scored.filter("s.aligned > 0")
-    pick = F.struct(F.col("s.matched").alias("matched"), (-F.col("s.start")).alias("from_end"), (-F.col("shift")).alias("back"), F.col("s.aligned").alias("aligned"), "item_tokens")
-    best = good.groupBy("doc_id", "item_id").agg(F.max(pick).alias("b"))
+    found = _by_row(docs, tests, min_overlap, min_match, masks, least_item)
+    return _flat(found.groupBy("doc_id", "item_id").agg(F.max("b").alias("b")), ["doc_id", "item_id"])
+
+
+def _flat(best: DataFrame, keys: list[str]) -> DataFrame:
     return best.select(
-        "doc_id",
-        "item_id",
+        *keys,
         F.col("b.matched").alias("matched"),
         F.col("b.aligned").alias("aligned"),
         F.col("b.item_tokens").alias("item_tokens"),
@@ -96,6 +83,47 @@ def overlaps(docs: DataFrame, tests: DataFrame, min_overlap: int = 12, min_match
     )
 
 
+def _by_row(docs: DataFrame, tests: DataFrame, min_overlap: int, min_match: float, masks: tuple[str, ...], least_item: int) -> DataFrame:
+    """doc_id, text_key, item_id, b: the best segment of each document row and item."""
+    items = tests.select("item_id", tokens(F.col("text")).alias("item_t")).filter(F.size("item_t") >= least_item).distinct()
+    items = items.withColumn("item", F.xxhash64(F.coalesce(F.col("item_id").cast("string"), F.lit("")), F.col("item_id").isNull(), F.array_join("item_t", " ")))
+    seeds = _windows(items.withColumnRenamed("item_t", "t"), ["item"], masks)
+    sizes = [r[0] for r in items.filter(F.size("item_t") < min_overlap).select(F.size("item_t")).distinct().collect()]  # fewer than an overlap is long
+    for length in sorted({_seed_length(n, min_match) for n in sizes}):
+        short = items.filter(F.size("item_t").isin([n for n in sizes if _seed_length(n, min_match) == length])).withColumnRenamed("item_t", "t")
+        seeds = seeds.unionByName(_windows(short, ["item"], ("1" * length,)))
+        masks = (*masks, "1" * length) if "1" * length not in masks else masks
+    table = seeds.select("h", F.struct("item", F.col("p").alias("item_p")).alias("at")).distinct()
+    n_seeds, n_items = table.count(), items.agg(F.sum(F.size("item_t"))).first()[0] or 0
+    small = (n_seeds + n_items) * SEED_BYTES <= BROADCAST_BYTES
+    row = ["doc_id", "text_key"]
+    texts = docs.select("doc_id", text_key(), tokens(F.col("text")).alias("t"))
+    shape = ["item_id", "item_t", "item"]
+    windows = _windows(texts, row, masks)
+    if small:
+        lists = table.groupBy("h").agg(F.collect_list("at").alias("at"))  # a broadcast's worth in all
+        met = windows.join(F.broadcast(lists), "h").select(*row, "t", "p", F.explode("at").alias("at"))
+        diagonals = met.select(*row, "t", F.col("at.item").alias("item"), (F.col("p") - F.col("at.item_p")).alias("shift"))
+        diagonals = diagonals.join(F.broadcast(items.select(*shape)), "item")
+    else:
+        # a row a seed and item, so that a hot seed can be split by AQE's skew join
+        met = windows.select(*row, "p", "h").join(table.select("h", "at.*"), "h")
+        pairs = met.select(*row, "item", (F.col("p") - F.col("item_p")).alias("shift")).distinct()
+        same = pairs["doc_id"].eqNullSafe(texts["doc_id"]) & (pairs["text_key"] == texts["text_key"])
+        diagonals = pairs.join(texts.select(*row, "t"), same).drop(texts["doc_id"]).drop(texts["text_key"])
+        diagonals = diagonals.join(items.select(*shape), "item")
+    aligned = diagonals.select(*row, "item", "item_id", "shift", "item_t", _laid_over(F.col("t"), F.col("shift"), F.size("item_t")).alias("part"))
+    # one row a diagonal: rows of one key have one text; the part is no longer than the item
+    once = aligned.groupBy(*row, "item", "item_id", "shift").agg(F.any_value("part").alias("part"), F.any_value("item_t").alias("item_t"))
+    least = F.least(F.lit(min_overlap), F.size("item_t"))
+    equal = once.select(*row, "item_id", "shift", F.size("item_t").alias("item_tokens"), least.alias("least"), _equal(F.col("part"), F.col("item_t"), F.col("shift")).alias("e"))
+    able = equal.filter(F.size(F.filter("e", lambda x: x)) >= F.floor(F.col("least") * min_match))
+    scored = able.select(*row, "item_id", "shift", "item_tokens", _best_segment(F.col("e"), F.col("shift"), F.col("least"), min_match).alias("s"))
+    good = scored.filter("s.aligned > 0")
+    pick = F.struct(F.col("s.matched").alias("matched"), (-F.col("s.start")).alias("from_end"), (-F.col("shift")).alias("back"), F.col("s.aligned").alias("aligned"), "item_tokens")
+    return good.groupBy(*row, "item_id").agg(F.max(pick).alias("b"))
+
+
 def _laid_over(t: Column, shift: Column, n: Column) -> Column:
     """The document's tokens under an item of ``n`` tokens laid at ``shift``; nulls where it overhangs."""
     front = F.greatest(-shift, F.lit(0))
@@ -148,6 +176,7 @@ def _best_segment(equal: Column, shift: Column, least: Column, min_match: float)
     return F.aggregate(equal, begin, step, trimmed)
 
 
-def drop_contaminated(docs: DataFrame, tests: DataFrame, **options) -> DataFrame:
-    """``docs`` without those that hold a passage of a test item; all columns stay."""
-    return without(docs, overlaps(docs, tests, **options))
+def drop_contaminated(docs: DataFrame, tests: DataFrame, min_overlap: int = 12, min_match: float = 0.8, masks: tuple[str, ...] = MASKS, least_item: int = 4) -> DataFrame:
+    """``docs`` without those that hold a passage of a test item; all columns stay, and rows that repeat a
+    contaminated one's id with another text."""
+    return without(docs, _by_row(docs, tests, min_overlap, min_match, masks, least_item))

@@ -1,8 +1,8 @@
 """Language identification by a bidirectional gated recurrent network over bytes.
 
 The network is written and trained in numpy, by backpropagation through time. It
-gives every byte position a distribution over the languages; a document's is the
-mean over its positions. Whole texts are read, as windows of bytes that run through
+gives every byte position a distribution over the languages and, beside them, what is no
+language it knows (trained on made-up windows); a document's is the mean over its positions. Whole texts are read, as windows of bytes that run through
 the network side by side, so memory depends on the window count of one block only.
 """
 
@@ -17,10 +17,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import without
+from .common import text_key, without
 
 UNDETERMINED = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_WORDLIKE = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str) -> bool:
+    """Letters alone: number forms such as halves and Roman numeral signs are none."""
+    return any(m[0].isalpha() for m in _WORDLIKE.finditer(text))
 
 
 @dataclass
@@ -35,6 +40,11 @@ class Gru:
     b: np.ndarray
     window: int = 128
 
+    @property
+    def known(self) -> list[int]:
+        """Places of the languages, without ``und``."""
+        return [k for k, x in enumerate(self.langs) if x != UNDETERMINED] or list(range(len(self.langs)))
+
     def position_probabilities(self, x: np.ndarray) -> np.ndarray:
         """(positions, languages, windows) for byte windows (positions, windows)."""
         steps, n = x.shape
@@ -106,12 +116,15 @@ class Gru:
         return [self.langs[k] for k in best.T.ravel()[: len(data)]]
 
 
-def train(samples: list[tuple[str, str]], hidden: int = 8, window: int = 128, steps: int = 260, batch: int = 256, span: int = 64, rate: float = 0.03, seed: int = 7) -> Gru:
+def train(samples: list[tuple[str, str]], hidden: int = 8, window: int = 128, steps: int = 260, batch: int = 256, span: int = 64, rate: float = 0.03, seed: int = 7, reject: bool = True) -> Gru:
     """Fit to (text, language) pairs. Each step draws ``batch`` windows of ``span`` bytes,
-    languages in equal shares, a sixth of them cut short and padded as short texts are."""
+    languages in equal shares, a sixth of them cut short and padded as short texts are. With
+    ``reject`` the windows of one more class, ``und``, are made up: see :func:`_no_language`."""
     rng = np.random.default_rng(seed)
     langs = sorted({y for _, y in samples})
     text = {y: np.frombuffer(b"\n".join(x.lower().encode("utf-8", "surrogatepass") for x, z in samples if z == y) + bytes(span), np.uint8) for y in langs}
+    known = list(langs)
+    langs += [UNDETERMINED] * reject
     f32 = lambda *shape, by=0.3: (rng.standard_normal(shape) * by).astype(np.float32)
     n_langs = len(langs)
     p = {"b": np.zeros((n_langs, 1), np.float32)}
@@ -123,9 +136,9 @@ def train(samples: list[tuple[str, str]], hidden: int = 8, window: int = 128, st
         x = np.empty((span, batch), np.uint8)
         mask = np.ones((span, batch), np.float32)
         for k in range(batch):
-            t = text[langs[y[k]]]
+            t = text[langs[y[k]] if y[k] < len(known) else known[rng.integers(0, len(known))]]
             a = rng.integers(0, max(1, len(t) - span))
-            x[:, k] = t[a : a + span]
+            x[:, k] = t[a : a + span] if y[k] < len(known) else _no_language(t[a : a + span], rng)
             if k % 6 == 0:
                 cut = rng.integers(4, span)
                 x[cut:, k], mask[cut:, k] = 0, 0
@@ -140,6 +153,27 @@ def train(samples: list[tuple[str, str]], hidden: int = 8, window: int = 128, st
     return Gru(langs, [p["e0"], p["e1"]], [p["u0"], p["u1"]], [p["w0"], p["w1"]], p["b"], window)
 
 
+def _no_language(window: np.ndarray, rng: np.random.Generator) -> np.ndarray:
+    """Bytes as long as ``window`` in no known language: its letters in random order, random letters
+    and digits, or words in the bytes of some other script."""
+    n, kind = len(window), rng.integers(0, 3)
+    if kind == 0:
+        return rng.permutation(window)
+    if kind == 1:
+        signs = np.frombuffer(b"abcdefghijklmnopqrstuvwxyz0123456789+/=-_", np.uint8)
+        out = rng.choice(signs, n)
+        out[rng.random(n) < rng.choice([0.0, 0.15])] = 32
+        return out
+    lead = rng.integers(0xC4, 0xF0)
+    width = 2 if lead < 0xE0 else 3
+    out = rng.integers(0x80, 0xC0, n + width)
+    out[::width] = lead + rng.integers(0, 2, len(out[::width]))
+    gaps = rng.random(len(out[::width])) < 0.12
+    out[::width][gaps] = 32
+    at = rng.integers(0, width)
+    return out[at : at + n].astype(np.uint8)
+
+
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
@@ -185,47 +219,54 @@ def _gradients(p: dict, x: np.ndarray, y: np.ndarray, mask: np.ndarray, hidden:
     return grad
 
 
-def labelled_sample(docs: DataFrame, per_language: int, modulus: int = 1 << 20) -> list[tuple[str, str]]:
-    """About ``per_language`` documents of each language, picked by a hash of doc_id, in a
-    fixed order. One pass counts the languages, another fetches the picked rows."""
-    known = docs.filter("lang is not null and text is not null").select(F.col("doc_id"), F.col("lang"), "text")
+def labelled_sample(docs: DataFrame, per_language: int, modulus: int = 1 << 20, most_chars: int = 1 << 15) -> list[tuple[str, str]]:
+    """About ``per_language`` documents of each language, picked by a hash of doc_id (of the text
+    where that is null), in a fixed order; of longer ones a run of ``most_chars`` characters from a place that a
+    hash picks. One pass counts the languages, another fetches the picked rows."""
+    known = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & (F.col("lang") != UNDETERMINED)).select(F.col("doc_id"), F.col("lang"), "text")
+    draw = F.xxhash64(F.coalesce(F.col("doc_id"), F.xxhash64("text")), F.lit(8))
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
     cut = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, max(1, min(modulus, modulus * per_language // n)))]) if counts else None
     if cut is None:
         return []
-    picked = known.filter(F.expr(f"pmod(xxhash64(doc_id, 8), {modulus})") < cut[F.col("lang")])
-    return [(r["text"], r["lang"]) for r in sorted(picked.collect(), key=lambda r: (r["lang"], str(r["doc_id"])))]
+    picked = known.filter(F.pmod(draw, F.lit(modulus)) < cut[F.col("lang")])
+    start = F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - most_chars, F.lit(0)) + 1).cast("int") + 1
+    picked = picked.select("doc_id", "lang", F.substring("text", start, F.lit(most_chars)).alias("text"))
+    return [(r["text"], r["lang"]) for r in sorted(picked.collect(), key=lambda r: (r["lang"], str(r["doc_id"]), r["text"]))]
 
 
 def fit(docs: DataFrame, per_language: int = 250, **options) -> Gru:
-    """Train on a sample of labelled documents. ``per_language`` bounds it."""
+    """Train on a sample of labelled documents: ``per_language`` bounds their number, 32 768 characters each."""
     samples = labelled_sample(docs, per_language)
     return train(samples, **options) if samples else Gru([UNDETERMINED], [np.zeros((3, 256), np.float32)] * 2, [np.zeros((3, 1), np.float32)] * 2, [np.zeros((1, 1), np.float32)] * 2, np.zeros((1, 1), np.float32))
 
 
 def predict(docs: DataFrame, model: Gru) -> DataFrame:
-    """One row per document: doc_id, lang_pred, score.
+    """One row per document: doc_id, text_key, lang_pred, score, known.
 
-    Only ``text`` decides. Null texts and those without a letter get ``und`` and score 0;
-    of tied languages the first by name wins; repeated rows are each scored; an empty
+    Only ``text`` decides. ``lang_pred`` is the likeliest language and ``score`` its share among the
+    languages; ``known`` is the share of all languages against ``und``. Null texts and those without a
+    letter get ``und``, score 0 and known 0; of tied languages the first by name wins; repeated rows are each scored; an empty
     table gives no rows; other columns aren't read. Long texts are cut into windows, not shortened.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(1).to_pylist()
+            texts = b.column(2).to_pylist()
             lang: list[str] = [UNDETERMINED] * len(texts)
-            score = np.zeros(len(texts))
-            some = [k for k, t in enumerate(texts) if t and _LETTER.search(t)]
+            score, known, places = np.zeros(len(texts)), np.zeros(len(texts)), np.array(model.known)
+            some = [k for k, t in enumerate(texts) if t and has_letter(t)]
             for part in _parts(some, texts):
                 p = model.document_probabilities([texts[k].lower().encode("utf-8", "surrogatepass") for k in part])
-                best = p.argmax(axis=1)
+                p = p[:, places]
+                best, share = p.argmax(axis=1), np.clip(p.sum(axis=1), 1e-9, 1)
                 for k, j in zip(part, best.tolist()):
-                    lang[k] = model.langs[j]
-                score[part] = np.clip(p[np.arange(len(part)), best], 0, 1)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lang, pa.string()), pa.array(score)], ["doc_id", "lang_pred", "score"])
+                    lang[k] = model.langs[places[j]]
+                score[part] = np.clip(p[np.arange(len(part)), best] / share, 0, 1)
+                known[part] = share
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lang, pa.string()), pa.array(score), pa.array(known)], ["doc_id", "text_key", "lang_pred", "score", "known"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.select(F.col("doc_id").cast("long"), text_key(), F.col("text").cast("string")).mapInArrow(run, "doc_id long, text_key long, lang_pred string, score double, known double")
 
 
 def _parts(rows: list[int], texts: list, most: int = 4_000_000) -> Iterator[list[int]]:
@@ -246,12 +287,18 @@ def held_out(docs: DataFrame, folds: int = 5) -> DataFrame:
 
 
 def identify(docs: DataFrame, per_language: int = 250, **options) -> DataFrame:
-    """doc_id, held_out, lang_pred, score: fit on the documents that aren't held out, predict all."""
+    """doc_id, held_out, lang_pred, score, known, text_key: fit on the documents that aren't held out, predict all."""
     marked = held_out(docs.select("doc_id", "text", "lang"))
     model = fit(marked.filter("not held_out"), per_language, **options)
-    return held_out(predict(docs, model)).select("doc_id", "held_out", "lang_pred", "score")
+    return held_out(predict(docs, model)).select("doc_id", "held_out", "lang_pred", "score", "known", "text_key")
+
+
+#: Least share of known languages: clean texts at sf0.1 have over 0.13, foreign scripts and random letters under 0.1.
+FLOOR = 0.1
 
 
-def keep_identified(docs: DataFrame, floor: float = 0.0, **options) -> DataFrame:
-    """``docs`` without those of no language: no letter, or a score under ``floor``."""
-    return without(docs, identify(docs, **options).filter((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < floor)))
+def keep_identified(docs: DataFrame, floor: float = FLOOR, wanted: list[str] | None = None, **options) -> DataFrame:
+    """``docs`` without those in no language that the network learned: no letter, or a share of known
+    languages under ``floor``; with ``wanted`` also without those in other languages. All columns stay."""
+    other = ~F.col("lang_pred").isin(wanted) if wanted else F.lit(False)
+    return without(docs, identify(docs, **options).filter((F.col("lang_pred") == UNDETERMINED) | (F.col("known") < floor) | other))

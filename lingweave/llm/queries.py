@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import decontaminate, exact_dedup, html_extract, langid, line_dedup, lm_score, packing, simhash, suffix_dedup, warc_derivatives
 
@@ -42,7 +41,7 @@ def op5_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.exact_dedup(_read(spark, sf_dir, "documents"), locator=F.input_file_name()).drop("locator")
+    return exact_dedup.exact_dedup(_read(spark, sf_dir, "documents"), locator=exact_dedup.file_locator()).drop("locator", "text_key")
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,7 +49,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.identify(_read(spark, sf_dir, "documents"))
+    return langid.identify(_read(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

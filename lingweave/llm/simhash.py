@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import spool, without
+from .common import once_each, spool, text_key, without
 from .components import connected_components
 
 BITS = 64
@@ -80,16 +80,16 @@ def word_fingerprint(words: list[bytes], seed: int) -> int:
 
 
 def paired_fingerprints(docs: DataFrame, n: int = 3, seed: int = 42) -> DataFrame:
-    """doc_id, fp (of words), v (of n-grams), both signed; texts without words get zero twice."""
+    """doc_id, text_key, fp (of words), v (of n-grams), both signed; texts without words get zero twice."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            texts = b.column(1).to_pylist()
+            texts = b.column(2).to_pylist()
             words = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts]
             fp = np.array([word_fingerprint(w, seed) if w else 0 for w in words], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), pa.array(_fingerprints(texts, n, seed).view(np.int64))], ["doc_id", "fp", "v"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp), pa.array(_fingerprints(texts, n, seed).view(np.int64))], ["doc_id", "text_key", "fp", "v"])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(run, "doc_id long, fp long, v long")
+    return docs.select(F.col("doc_id").cast("long"), text_key(), F.col("text").cast("string")).mapInArrow(run, "doc_id long, text_key long, fp long, v long")
 
 
 def fingerprints(docs: DataFrame, n: int = 3, seed: int = 42) -> DataFrame:
@@ -197,6 +197,18 @@ def _meets_first(plan: list, a: Column, b: Column, seg: Column) -> Column:
     return ok
 
 
+def _classes(fps: DataFrame, keys: list[str], least: Column) -> DataFrame:
+    """One row per fingerprint: ``keys``, n, the ``least`` row of its documents, and a number of its own, id."""
+    return spool(fps.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min(least).alias("least")).withColumn("id", F.monotonically_increasing_id()), "simhash-classes")
+
+
+def _least_reachable(classes: DataFrame, links: DataFrame) -> DataFrame:
+    """id, least: for every class that has links, the least row of its component."""
+    roots = connected_components(links.select(F.col("id").alias("u"), F.col("id2").alias("v")))
+    linked = classes.select("id", "least").join(roots, F.col("id") == F.col("node")).select("id", "root", "least")
+    return linked.select("id", "root").join(linked.groupBy("root").agg(F.min("least").alias("reachable")), "root").select(F.col("id").alias("node"), "reachable")
+
+
 def simhash_near_dups(docs: DataFrame, n: int = 3, distance: int = 2, seed: int = 42, hot_bucket: int = HOT_BUCKET) -> DataFrame:
     """One row per document: doc_id, fingerprint (16 hex digits), n_near (other documents
     within ``distance`` bits), component_id (smallest doc_id reachable over such links).
@@ -204,41 +216,44 @@ def simhash_near_dups(docs: DataFrame, n: int = 3, distance: int = 2, seed: int
     Documents of one fingerprint form one class before anything is compared, so a
     group of copies of any size is one row in the search. Null, empty and blank
     texts have fingerprint zero and link like any other; an empty table gives no rows;
-    doc_id is a key (a null one counts as a document but names no component unless alone);
-    other columns are not read.
+    rows that repeat a doc_id count each; a null one counts as a document but names no component
+    unless all of it are null; other columns are not read.
     """
     fps = spool(fingerprints(docs, n, seed), "simhash-fps")
-    classes = spool(fps.groupBy("fp").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("id")), "simhash-classes")
+    classes = _classes(fps, ["fp"], F.col("doc_id"))
     links = spool(near_links(classes, distance, hot_bucket), "simhash-links")
     degree = (
-        links.select("fp", F.col("n2").alias("m")).unionByName(links.select(F.col("fp2").alias("fp"), F.col("n").alias("m"))).groupBy("fp").agg(F.sum("m").alias("m"))
+        links.select("id", F.col("n2").alias("m")).unionByName(links.select(F.col("id2").alias("id"), F.col("n").alias("m"))).groupBy("id").agg(F.sum("m").alias("m"))
     )
-    roots = connected_components(links.select(F.col("id").alias("u"), F.col("id2").alias("v")))
     marked = (
-        classes.join(degree, "fp", "left")
-        .join(roots, F.col("id") == F.col("node"), "left")
-        .select("fp", (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("n_near"), F.coalesce("root", "id").alias("component_id"))
+        classes.join(degree, "id", "left")
+        .join(_least_reachable(classes, links), F.col("id") == F.col("node"), "left")
+        .select("fp", (F.col("n") - 1 + F.coalesce("m", F.lit(0))).alias("n_near"), F.coalesce("reachable", "least").alias("component_id"))
     )
     return fps.join(marked, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "n_near", "component_id")
 
 
 def near_copies(docs: DataFrame, distance: int = 8, verify: int = 16, n: int = 3, seed: int = 42, hot_bucket: int = HOT_BUCKET) -> DataFrame:
-    """One row per document: doc_id, component_id (smallest doc_id reachable over links).
+    """One row per document: doc_id, text_key, component_id, component_key: the last two tell the row
+    with the smallest doc_id (of repeated ones the smallest key, null last) reachable over links.
 
     For removing near copies a wider net than :func:`simhash_near_dups`: documents link whose
     word fingerprints differ in at most ``distance`` bits and whose n-gram fingerprints, which
-    travel along, in at most ``verify``. Texts without words link to each other; null doc_ids name no
-    component unless alone; an empty table gives no rows; other columns aren't read.
+    travel along, in at most ``verify``. Texts without words link to each other; an empty table gives
+    no rows; other columns aren't read.
     """
     fps = spool(paired_fingerprints(docs, n, seed), "simhash-pairs")
-    classes = spool(fps.groupBy("fp", "v").agg(F.min("doc_id").alias("id")), "simhash-classes")
+    classes = _classes(fps, ["fp", "v"], F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
     alike = lambda p, t: F.bit_count(p["v"].bitwiseXOR(t["v"])) <= verify
-    links = near_links(classes, distance, hot_bucket, 3, ("fp", "v", "id"), alike).select(F.col("id").alias("u"), F.col("id2").alias("v"))
-    roots = connected_components(links)
-    marked = classes.join(roots, F.col("id") == F.col("node"), "left").select("fp", "v", F.coalesce("root", "id").alias("component_id"))
-    return fps.join(marked, ["fp", "v"]).select("doc_id", "component_id")
+    links = near_links(classes, distance, hot_bucket, 3, ("fp", "v", "id"), alike)
+    reachable = _least_reachable(classes, links)
+    marked = classes.join(reachable, F.col("id") == F.col("node"), "left").select("fp", "v", F.coalesce("reachable", "least").alias("r"))
+    return fps.join(marked, ["fp", "v"]).select("doc_id", "text_key", F.col("r.doc_id").alias("component_id"), F.col("r.text_key").alias("component_key"))
 
 
 def keep_one_of_each(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document, the smallest doc_id, of each component of near copies; all columns stay."""
-    return without(docs, near_copies(docs, **options).filter("doc_id <> component_id"))
+    """``docs`` with one row, that of the smallest doc_id, of each component of near copies; all columns stay."""
+    found = spool(near_copies(docs, **options), "near-copies")
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("text_key") == F.col("component_key"))
+    repeated = found.filter(stays).groupBy("doc_id", "text_key").count().filter("count > 1")
+    return once_each(without(docs, found.filter(~stays)), repeated)

@@ -56,3 +56,32 @@ def test_equals_brute_force(spark):
     for r in rows:
         a, b = docs[r["doc_id"]][r["doc_start"] :], items[r["item_id"]][r["item_start"] :]
         assert sum(x == y for x, y in list(zip(a, b))[: r["aligned"]]) == r["matched"] and r["aligned"] >= 12
+
+
+def test_short_items(spark):
+    """Items of 6 to 11 tokens with every allowed substitution; 4 and 5 unchanged; 3 match nothing."""
+    items, docs, want = [], [], set()
+    for n in range(3, 12):
+        item = [f"i{n}w{j}" for j in range(n)]
+        items.append((n, " ".join(item)))
+        for k in range(3):
+            for p in itertools.combinations(range(n), k):
+                d = len(docs)
+                docs.append((d, " ".join(["before"] + ["zzz" if j in p else w for j, w in enumerate(item)] + ["after"])))
+                if n >= 4 and 5 * (n - k) >= 4 * n and (n > 5 or not k):
+                    want.add((d, n))
+    got = decontaminate.overlaps(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
+
+
+def test_repeated_ids(spark, monkeypatch):
+    """A contaminated row isn't hidden by another row of its id, in either order and on both paths."""
+    item = [f"w{j}" for j in range(40)]
+    whole, part, other = " ".join(item), " ".join(item[:9]), "nothing of the kind"
+    tests = spark.createDataFrame([(1, whole), (1, "another item of the same name that has its twelve words and more")], "item_id long, text string")
+    for bound in (decontaminate.BROADCAST_BYTES, 0):
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", bound)
+        for rows in ([(7, whole), (7, part), (7, other), (None, whole), (None, other)], [(None, other), (None, whole), (7, other), (7, part), (7, whole)]):
+            d = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+            assert {(r["doc_id"], r["item_id"], r["matched"]) for r in decontaminate.overlaps(d, tests).collect()} == {(7, 1, 40), (None, 1, 40)}
+            assert sorted(map(repr, ((r["doc_id"], r["text"]) for r in decontaminate.drop_contaminated(d, tests).collect()))) == sorted(map(repr, [(7, part), (7, other), (None, other)]))
