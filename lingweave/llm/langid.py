@@ -20,6 +20,8 @@ from pyspark.sql import functions as F
 from .common import text_key, without
 
 UNDETERMINED = "und"
+#: Bytes of letters; those beyond ASCII count as such.
+_LETTERS = np.array([chr(k).isalpha() or k >= 128 for k in range(256)])
 _WORDLIKE = re.compile(r"[^\W\d_]")
 
 
@@ -80,8 +82,13 @@ class Gru:
         return out
 
     def document_probabilities(self, texts: list[bytes], block: int = 1024) -> np.ndarray:
-        """(texts, languages): the mean over all positions of each text. A text's last
-        window reaches back over the one before, but each position counts once."""
+        """(texts, languages): the mean over all positions of each text."""
+        return self.pooled(texts, block)[0]
+
+    def pooled(self, texts: list[bytes], block: int = 1024) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(texts, languages) means over all positions, the mean share of languages other than ``und``
+        over the positions of letters, and the number of these (bytes; 0 if ``und`` wasn't trained). A text's last window reaches back over the one before, but each
+        position counts once."""
         size = self.window
         lengths = np.fromiter(map(len, texts), np.int64, len(texts))
         padded = [t if len(t) >= size else t + bytes(size - len(t)) for t in texts]
@@ -94,7 +101,8 @@ class Gru:
         wanted = k * size
         start = np.minimum(wanted, room[owner] - size)
         skip, end = wanted - start, np.minimum(lengths[owner] - start, size)
-        pooled = np.zeros((len(texts), len(self.langs)))
+        pooled, known, letters = np.zeros((len(texts), len(self.langs))), np.zeros(len(texts)), np.zeros(len(texts))
+        none = self.langs.index(UNDETERMINED) if UNDETERMINED in self.langs else None
         at = np.arange(size)[:, None]
         for i in range(0, len(owner), block):
             s = slice(i, i + block)
@@ -103,7 +111,11 @@ class Gru:
             if skip[s].any() or (end[s] < size).any():
                 p *= ((at >= skip[s]) & (at < end[s]))[:, None, :]
             np.add.at(pooled, owner[s], p.sum(axis=0).T)
-        return pooled / np.maximum(lengths, 1)[:, None]
+            if none is not None:
+                letter = _LETTERS[x] & (at >= skip[s]) & (at < end[s])
+                np.add.at(letters, owner[s], letter.sum(axis=0))
+                np.add.at(known, owner[s], letter.sum(axis=0) - np.einsum("tn,tn->n", p[:, none], letter.astype(np.float32)))
+        return pooled / np.maximum(lengths, 1)[:, None], known / np.maximum(letters, 1) if none is not None else np.ones(len(texts)), letters
 
     def labels(self, text: str) -> list[str]:
         """The language of every byte position of the lower-cased text."""
@@ -242,10 +254,11 @@ def fit(docs: DataFrame, per_language: int = 250, **options) -> Gru:
 
 
 def predict(docs: DataFrame, model: Gru) -> DataFrame:
-    """One row per document: doc_id, text_key, lang_pred, score, known.
+    """One row per document: doc_id, text_key, lang_pred, score, known, letters.
 
     Only ``text`` decides. ``lang_pred`` is the likeliest language and ``score`` its share among the
-    languages; ``known`` is the share of all languages against ``und``. Null texts and those without a
+    languages; ``known`` is the share of all languages against ``und`` where the text has
+    letters, of which it has ``letters`` bytes. Null texts and those without a
     letter get ``und``, score 0 and known 0; of tied languages the first by name wins; repeated rows are each scored; an empty
     table gives no rows; other columns aren't read. Long texts are cut into windows, not shortened.
     """
@@ -254,19 +267,18 @@ def predict(docs: DataFrame, model: Gru) -> DataFrame:
         for b in batches:
             texts = b.column(2).to_pylist()
             lang: list[str] = [UNDETERMINED] * len(texts)
-            score, known, places = np.zeros(len(texts)), np.zeros(len(texts)), np.array(model.known)
+            score, known, letters, places = np.zeros(len(texts)), np.zeros(len(texts)), np.zeros(len(texts)), np.array(model.known)
             some = [k for k, t in enumerate(texts) if t and has_letter(t)]
             for part in _parts(some, texts):
-                p = model.document_probabilities([texts[k].lower().encode("utf-8", "surrogatepass") for k in part])
+                p, known[part], letters[part] = model.pooled([texts[k].lower().encode("utf-8", "surrogatepass") for k in part])
                 p = p[:, places]
                 best, share = p.argmax(axis=1), np.clip(p.sum(axis=1), 1e-9, 1)
                 for k, j in zip(part, best.tolist()):
                     lang[k] = model.langs[places[j]]
                 score[part] = np.clip(p[np.arange(len(part)), best] / share, 0, 1)
-                known[part] = share
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lang, pa.string()), pa.array(score), pa.array(known)], ["doc_id", "text_key", "lang_pred", "score", "known"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(lang, pa.string()), pa.array(score), pa.array(known), pa.array(letters.astype(np.int64))], ["doc_id", "text_key", "lang_pred", "score", "known", "letters"])
 
-    return docs.select(F.col("doc_id").cast("long"), text_key(), F.col("text").cast("string")).mapInArrow(run, "doc_id long, text_key long, lang_pred string, score double, known double")
+    return docs.select(F.col("doc_id").cast("long"), text_key(), F.col("text").cast("string")).mapInArrow(run, "doc_id long, text_key long, lang_pred string, score double, known double, letters long")
 
 
 def _parts(rows: list[int], texts: list, most: int = 4_000_000) -> Iterator[list[int]]:
@@ -287,18 +299,19 @@ def held_out(docs: DataFrame, folds: int = 5) -> DataFrame:
 
 
 def identify(docs: DataFrame, per_language: int = 250, **options) -> DataFrame:
-    """doc_id, held_out, lang_pred, score, known, text_key: fit on the documents that aren't held out, predict all."""
+    """doc_id, held_out, lang_pred, score, known, letters, text_key: fit on the documents that aren't held out, predict all."""
     marked = held_out(docs.select("doc_id", "text", "lang"))
     model = fit(marked.filter("not held_out"), per_language, **options)
-    return held_out(predict(docs, model)).select("doc_id", "held_out", "lang_pred", "score", "known", "text_key")
+    return held_out(predict(docs, model)).select("doc_id", "held_out", "lang_pred", "score", "known", "letters", "text_key")
 
 
-#: Least share of known languages: clean texts at sf0.1 have over 0.13, foreign scripts and random letters under 0.1.
-FLOOR = 0.1
+#: Least share of known languages, of texts long enough to tell: at sf0.1 all have over 0.25, while foreign
+#: scripts and random letters have under 0.13.
+FLOOR, ENOUGH_LETTERS = 0.15, 160
 
 
-def keep_identified(docs: DataFrame, floor: float = FLOOR, wanted: list[str] | None = None, **options) -> DataFrame:
-    """``docs`` without those in no language that the network learned: no letter, or a share of known
-    languages under ``floor``; with ``wanted`` also without those in other languages. All columns stay."""
+def keep_identified(docs: DataFrame, floor: float = FLOOR, enough: int = ENOUGH_LETTERS, wanted: list[str] | None = None, **options) -> DataFrame:
+    """``docs`` without those in no language that the network learned: no letter, or ``enough`` bytes of letters
+    (fewer don't tell) and a share of known languages under ``floor``; with ``wanted`` also without those in other languages. All columns stay."""
     other = ~F.col("lang_pred").isin(wanted) if wanted else F.lit(False)
-    return without(docs, identify(docs, **options).filter((F.col("lang_pred") == UNDETERMINED) | (F.col("known") < floor) | other))
+    return without(docs, identify(docs, **options).filter((F.col("lang_pred") == UNDETERMINED) | ((F.col("known") < floor) & (F.col("letters") >= enough)) | other))

@@ -49,7 +49,7 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return langid.identify(_read(spark, sf_dir, "documents")).drop("text_key")
+    return langid.identify(_read(spark, sf_dir, "documents")).drop("text_key", "letters")
 
 
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -71,7 +71,8 @@ ORACLES = {
             FROM lines WHERE trim(line, ' ' || chr(9) || chr(13)) <> ''),
         pairs AS (SELECT doc_id, n, k, lead(k) OVER (PARTITION BY doc_id ORDER BY n) AS k2 FROM solid),
         ranked AS (SELECT doc_id, n, row_number() OVER (PARTITION BY k, k2 ORDER BY doc_id, n) AS r FROM pairs WHERE k2 IS NOT NULL),
-        gone AS (SELECT DISTINCT doc_id, n + d AS n FROM ranked, (VALUES (0), (1)) AS t(d) WHERE r > 1),
+        long AS (SELECT doc_id, n, row_number() OVER (PARTITION BY k ORDER BY doc_id, n) AS r FROM solid WHERE len(string_split_regex(k, '[ \t\r]+')) >= 10),
+        gone AS (SELECT doc_id, n + d AS n FROM ranked, (VALUES (0), (1)) AS t(d) WHERE r > 1 UNION SELECT doc_id, n FROM long WHERE r > 1),
         gone_pos AS (SELECT s.doc_id, s.pos FROM solid s JOIN gone g ON s.doc_id = g.doc_id AND s.n = g.n),
         marked AS (SELECT l.doc_id, l.pos, l.line, g.pos IS NOT NULL AS gone FROM lines l LEFT JOIN gone_pos g ON l.doc_id = g.doc_id AND l.pos = g.pos)
         SELECT doc_id, count(*) FILTER (WHERE trim(line, ' ' || chr(9) || chr(13)) <> '') AS n_lines, count(*) FILTER (WHERE gone) AS n_removed,

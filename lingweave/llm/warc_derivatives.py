@@ -9,7 +9,6 @@ its date), repeat the source's payload digest and carry a digest of their own bl
 from __future__ import annotations
 
 import base64
-import gzip
 import hashlib
 import json
 import re
@@ -80,39 +79,72 @@ def parse_http(block: bytes) -> tuple[dict, list[list[str]], bytes]:
     low = {k.lower(): v.lower() for k, v in headers}
     if "chunked" in low.get("transfer-encoding", ""):
         payload = _dechunked(payload)
-    try:
-        if low.get("content-encoding") in ("gzip", "x-gzip"):
-            payload = gzip.decompress(payload)
-        elif low.get("content-encoding") == "deflate":
-            payload = zlib.decompress(payload)
-    except (OSError, EOFError, zlib.error):
-        payload = b""
+    for coding in reversed([x.strip() for x in low.get("content-encoding", "").split(",")]):
+        if coding in ("gzip", "x-gzip", "deflate"):
+            payload = _inflated(payload)
     return {"Version": version, "Status": status, "Reason": reason}, headers, payload
 
 
+def _inflated(data: bytes) -> bytes:
+    """Gzip members, zlib or raw deflate data, told by their first bytes; what a torn stream gave before its
+    end; data that is none of them as it is."""
+    for bits in (47, -15):  # gzip or zlib by its header, then raw
+        out, rest = [], data
+        while rest:
+            stream = zlib.decompressobj(bits)
+            try:
+                for at in range(0, len(rest), 1 << 16):  # in parts, so that what precedes an error is kept
+                    out.append(stream.decompress(rest[at : at + (1 << 16)]))
+                    if stream.eof:
+                        break
+                else:
+                    return b"".join(out)
+            except zlib.error:
+                if b"".join(out):
+                    return b"".join(out)
+                break
+            rest = stream.unused_data + rest[at + (1 << 16) :]
+            if rest[:2] != b"\x1f\x8b":  # padding
+                return b"".join(out)
+    return data
+
+
+_HEX = re.compile(rb"[0-9A-Fa-f]{1,16}")
+
+
 def _dechunked(data: bytes) -> bytes:
+    """The chunks' data; what isn't chunked as it is, and a torn body up to where it breaks off."""
     out, at = [], 0
     while (end := data.find(b"\r\n", at)) >= 0:
-        try:
-            n = int(data[at:end].split(b";")[0], 16)
-        except ValueError:
-            return data
+        size = data[at:end].split(b";")[0].strip()
+        if not _HEX.fullmatch(size):
+            return b"".join(out) if out else data
+        n = int(size, 16)
         if not n:
-            break
+            return b"".join(out)
         out.append(data[end + 2 : end + 2 + n])
         at = end + 4 + n
-    return b"".join(out)
+    return b"".join(out) if out else data
 
 
 def _decoded(payload: bytes, content_type: str) -> str:
     m = re.search(r"charset\s*=\s*[\"']?([\w.:-]+)", content_type, re.I) or re.search(rb"<meta[^>]+charset\s*=\s*[\"']?([\w.:-]+)", payload[:2048], re.I)
-    name = (m[1].decode() if isinstance(m[1], bytes) else m[1]) if m else "utf-8"
+    name = (m[1].decode("ascii", "replace") if isinstance(m[1], bytes) else m[1]) if m else "utf-8"
     try:
         return payload.decode(name, "replace")
-    except LookupError:
+    except (LookupError, UnicodeError, ValueError):  # unknown names, and codecs that aren't for text
         return payload.decode("utf-8", "replace")
 
 
+def _headers(raw: str | None) -> dict[str, str]:
+    """A record's headers from JSON; none where that is no object."""
+    try:
+        found = json.loads(raw) if raw else {}
+    except (ValueError, RecursionError):
+        return {}
+    return {k: v if isinstance(v, str) else json.dumps(v) for k, v in found.items()} if isinstance(found, dict) else {}
+
+
 def html_metadata(html: str) -> dict:
     links, metas, title = [], [], None
     for m in _TAG.finditer(html):
@@ -161,8 +193,9 @@ def derive(responses: DataFrame, keep: list[str] | None = None) -> DataFrame:
     ``responses``: target_uri, warc_date, headers (JSON), block. A block that is no HTTP
     response, a null one included, gives a metadata record that says so and no conversion;
     a payload that is no text gives metadata alone; empty text gives an empty conversion.
-    Null headers count as none, and the source then gets an identifier from address and
-    digest. Repeated rows give repeated records of the same identifiers; an empty table
+    Null headers, and such as are no JSON object, count as none, and the source then gets an identifier
+    from address and digest. Chunked, gzip, zlib and raw deflate payloads are decoded, torn ones as far as they go;
+    unknown character sets are read as UTF-8. Repeated rows give repeated records of the same identifiers; an empty table
     gives no rows; other columns aren't read. Long payloads are converted whole.
     """
     keep = keep or []
@@ -175,7 +208,7 @@ def derive(responses: DataFrame, keep: list[str] | None = None) -> DataFrame:
             rows, size = [], 0
             for i in range(b.num_rows):
                 raw = heads[i].as_py()
-                new = derive_one(json.loads(raw) if raw else {}, uris[i].as_py(), dates[i].as_py(), blocks[i].as_py() or b"")
+                new = derive_one(_headers(raw), uris[i].as_py(), dates[i].as_py(), blocks[i].as_py() or b"")
                 rows += [(*(k[i].as_py() for k in kept), *r) for r in new]
                 size += sum(len(r[-1]) for r in new)
                 if size > 16_000_000:

@@ -1,6 +1,7 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing columns."""
 
 import os
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -134,3 +135,90 @@ def test_entry_lists_all():
     names = set(e.queries())
     assert {n.split("_")[0] for n in names if n.startswith("op")} >= {f"op{i}" for i in range(1, 11)} and "pipeline" in names
     assert os.path.exists(tokenizer_path())
+
+
+def test_http_payloads():
+    import gzip
+    import zlib
+
+    page = "<p>Grüße, wie geht es?</p>".encode() * 3000
+    raw = zlib.compressobj(wbits=-15)
+    raw = raw.compress(page) + raw.flush()
+    text = lambda extra, body, kind="text/html; charset=utf-8": warc_derivatives.derive_one({}, "u", None, f"HTTP/1.1 200 OK\r\nContent-Type: {kind}\r\n{extra}\r\n".encode() + body)[-1][-1]
+    want = "\n".join(["Grüße, wie geht es?"] * 3000)
+    assert text("", page) == want
+    for coding, body in (("gzip", gzip.compress(page)), ("gzip", gzip.compress(page[:30000]) + gzip.compress(page[30000:])), ("deflate", zlib.compress(page)), ("deflate", raw), ("gzip", page)):
+        assert text(f"Content-Encoding: {coding}\r\n", body) == want
+    noise = random.Random(1).randbytes(200_000)
+    torn = gzip.compress(page + b"<!--" + noise)
+    assert text("Content-Encoding: gzip\r\n", torn[: len(torn) // 2]).startswith("Grüße, wie geht es?\nGrüße")
+    chunks = b"".join(b"%x;x=y\r\n%s\r\n" % (len(page[i : i + 1000]), page[i : i + 1000]) for i in range(0, len(page), 1000)) + b"0\r\n\r\n"
+    assert text("Transfer-Encoding: chunked\r\n", chunks) == want
+    for size in (b"-6", b"+6", b"0x6", b"6_0", b"zz", b""):
+        assert "Gr" in text("Transfer-Encoding: chunked\r\n", size + b"\r\n" + page)
+    for name in ("undefined", "idna", "punycode", "no-such", "hex", "base64", "utf-8\0", "unicode_escape", "utf-16"):
+        assert isinstance(text("", page, f"text/html; charset={name}"), str)
+
+
+@pytest.mark.parametrize("headers", ["[1]", "{", "3", "null", '{"WARC-Record-ID": 5}', '{"a": null}'])
+def test_odd_headers(spark, headers):
+    d = spark.createDataFrame([("u", "d", headers, bytearray(b"HTTP/1.1 200 OK\r\n\r\nx"))], "target_uri string, warc_date string, headers string, block binary")
+    assert [r["warc_type"] for r in warc_derivatives.derive(d).collect()] == ["metadata", "conversion"]
+
+
+def test_repeated_ids(spark):
+    """Rows that share an id are told apart by their texts, in either order, in every removal."""
+    lines = [(1, "a\nb\nc\nd"), (2, "x\ny"), (2, "a\nb\nq"), (None, "no id\nat all")]
+    for rows in (lines, lines[::-1]):
+        got = line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()
+        assert sorted(map(repr, [(r["doc_id"], r["text"]) for r in got])) == sorted(map(repr, [(1, "a\nb\nc\nd"), (2, "x\ny"), (2, "q"), (None, "no id\nat all")]))
+    texts = [(1, PASSAGE + " x"), (2, "kept as it is"), (2, "y " + PASSAGE), (None, "z z z")]
+    for rows in (texts, texts[::-1]):
+        d = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+        assert sorted(map(repr, map(tuple, suffix_dedup.drop_repeats(d).collect()))) == sorted(map(repr, [texts[0], texts[1], (2, "y "), texts[3]]))
+    same = [(5, "Same"), (5, "SAME"), (5, "other"), (4, "same"), (None, "same"), (7, "twice"), (7, "twice"), (None, "alone"), (None, "alone")]
+    kept = exact_dedup.keep_unique(spark.createDataFrame(same, "doc_id long, text string")).collect()
+    assert sorted((r["text"].lower() for r in kept)) == ["alone", "other", "same", "twice"] and {r["doc_id"] for r in kept} == {5, 7, None}
+    near = [(3, PASSAGE), (3, PASSAGE + " more"), (3, "something else altogether"), (8, PASSAGE), (9, "twice"), (9, "twice"), (None, PASSAGE)]
+    kept = simhash.keep_one_of_each(spark.createDataFrame(near, "doc_id long, text string")).collect()
+    assert len(kept) == 3 and {r["doc_id"] for r in kept} == {3, 9} and {r["text"] for r in kept if r["doc_id"] == 9} == {"twice"}
+
+
+def test_exact_state_lasts(spark, tmp_path):
+    """A second call adds rows to the kept state and looks former texts up by their locators."""
+    state, table = f"file://{tmp_path}/state", f"file://{tmp_path}/texts"
+    first = spark.createDataFrame([(1, "A"), (2, "b"), (9, "c")], "doc_id long, text string")
+    first.write.parquet(table + "/1")
+    one = spark.read.parquet(table + "/1")
+    got = exact_dedup.exact_dedup(one, locator=exact_dedup.file_locator(), state=state).collect()
+    assert {(r["doc_id"], r["keep_id"], r["kept"]) for r in got} == {(1, 1, True), (2, 2, True), (9, 9, True)}
+    spark.createDataFrame([(5, "a"), (6, "B"), (7, "d"), (3, "C")], "doc_id long, text string").write.parquet(table + "/2")
+    two = spark.read.parquet(table + "/2")
+    former = spark.read.parquet(table + "/1").select("text", exact_dedup.file_locator().alias("locator"))
+    got = exact_dedup.exact_dedup(two, locator=exact_dedup.file_locator(), state=state, earlier=former).collect()
+    assert {(r["doc_id"], r["keep_id"], r["group_size"], r["kept"]) for r in got} == {(1, 5, 2, False), (5, 5, 2, True), (2, 6, 2, False), (6, 6, 2, True), (9, 9, 2, True), (3, 9, 2, False), (7, 7, 1, True)}
+    with pytest.raises(Exception, match="leads to no text"):
+        exact_dedup.exact_dedup(spark.createDataFrame([(8, "a")], "doc_id long, text string"), state=state).collect()
+
+
+def test_null_ids_are_compared_by_bytes(spark):
+    d = spark.createDataFrame([(None, "a"), (None, "b"), (1, "a")], "doc_id long, text string")
+    got = exact_dedup.exact_dedup(d, digest=lambda c: F.lit(b"\0").cast("binary")).collect()
+    assert sorted((str(r["doc_id"]), str(r["keep_id"]), r["group_size"]) for r in got) == [("1", "1", 2), ("None", "1", 2), ("None", "None", 1)]
+
+
+def test_no_letters():
+    assert not any(map(langid.has_letter, ["½ ² Ⅷ", "123", "__", "!?"])) and langid.has_letter("1a") and langid.has_letter("ß")
+
+
+def test_language_stage_rejects(spark):
+    """The pipeline's stage drops texts of no known language and random letters, and keeps the others."""
+    d = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rng = random.Random(5)
+    bad = ["Съешь же ещё этих мягких французских булок, да выпей чаю и снова " * 5, "Η γλώσσα είναι ένα σύστημα επικοινωνίας που " * 6, "这是一个用于测试的中文句子没有任何特别的意义" * 6, "".join(rng.choice("abcdefghijklmnopqrstuvwxyz   ") for _ in range(600)), "".join(rng.choice("ABCDEFabcdefghijklmnopqrs0123456789+/") for _ in range(600)), "½ ² 12", None]
+    more = spark.createDataFrame([(10**6 + i, t, None, "s", 0) for i, t in enumerate(bad)], d.schema)
+    kept = {r["doc_id"] for r in langid.keep_identified(d.unionByName(more)).select("doc_id").collect()}
+    gone = {r["doc_id"] for r in d.select("doc_id").collect()} - kept
+    assert not any(k >= 10**6 for k in kept) and gone == set()
+    english = {r["lang"] for r in langid.keep_identified(d, wanted=["en"]).join(d.select(F.col("doc_id"), F.col("lang").alias("l")), "doc_id").groupBy("lang").count().filter("count > 3").collect()}
+    assert english == {"en"}
