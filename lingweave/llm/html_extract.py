@@ -1,11 +1,12 @@
 """Main-text extraction by composite text density (Sun, Song and Liao, "DOM based
 content extraction via text density", SIGIR 2011).
 
-A page is parsed into a tree; parts that are by their element, role or name no article
-text are cut off; every remaining node gets its link-adjusted characters per tag, and
-the node whose children's densities have the largest sum is the content. The least
-density on the way from that node to the body is the threshold that admits subtrees
-beside it.
+A page is parsed into a tree. Every node gets its link-adjusted characters per tag, the composite
+text density, and the node whose children's densities have the largest sum is the content. The least
+density on the way from that node to the body is the threshold that admits subtrees beside it, if
+they, or their children on average, are also as dense as that node's children on average.
+Elements, roles and names that tell of menus, comments, notices and the like weigh a subtree's
+densities down; within the content such a part goes unless it is as dense as the content or nearly all of it.
 """
 
 from __future__ import annotations
@@ -30,34 +31,39 @@ BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section summary table tbody td tfoot th thead tr ul".split()
 )
 _CONTAINERS = frozenset("article body div main section td html center".split())
-_CUT_TAGS = frozenset("script style noscript template nav footer aside form button select option textarea input iframe object svg canvas map audio video dialog menu head title label fieldset applet noframes search".split())
-_CUT_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
-_CUT_NAMES = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|adbox|adslot|sponsor\w*|promo\w*|banner|nav|navbar|navigation|menu\w*|breadcrumbs?|sidebar\w*|side-?bar|aside|footer\w*|header|masthead|topbar|comments?|commentlist|respond|replies|disqus\w*|discussion|cookies?|consent\w*|gdpr|notices?|popup|modal|overlay|newsletter|subscri\w*|signup|login|share|sharing|social\w*|related|recommend\w*|widgets?|pagination|pager|toolbar|skip-?link|disclaimer|copyright)(?:$|[\s_-])",
-    re.I,
-)
+#: Never text of an article.
+_NO_TEXT = frozenset("script style noscript template head title button select option textarea input iframe object svg canvas map audio video applet noframes".split())
+_ASIDE_TAGS = frozenset("nav footer aside form dialog menu search".split())
+_ASIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alertdialog alert menu menubar toolbar".split())
+_STRONG_NAMES = "ads?|advert\\w*|adsense|adbox|adslot|sponsor\\w*|nav|navbar|navigation|menu\\w*|breadcrumbs?|sidebar\\w*|side-?bar|footer\\w*|masthead|topbar|comments?|commentlist|respond|replies|disqus\\w*|cookies?|consent\\w*|gdpr|popup|newsletter|subscri\\w*|signup|login|share|sharing|social\\w*|pagination|pager|toolbar|skip-?link"
+_WEAK_NAMES = "promo\\w*|banner|aside|header|discussion|notices?|modal|overlay|related|recommend\\w*|widgets?|disclaimer|copyright"
+_NAMES = re.compile(rf"(?:^|[\s_-])(?:({_STRONG_NAMES})|(?:{_WEAK_NAMES}))(?:$|[\s_-])", re.I)
+#: Marks of a node, and what they weigh.
+PLAIN, WEAK, STRONG, ASIDE, NO_TEXT = range(5)
+_WEIGHT = (1.0, 0.5, 0.15, 0.1, 0.0)
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _BESIDE = ("has-", "no-", "with-", "without-", "hide-", "show-")
 #: Open elements that a start tag ends, and where the search for them stops.
 _ENDS = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
 
 class Tree:
-    """Nodes in page order: parent, tag, cut (not to be read); text pieces by node."""
+    """Nodes in page order: parent, tag, mark, cut (never text); text pieces by node."""
 
     def __init__(self) -> None:
-        self.parent, self.tag, self.cut, self.pieces = [-1], ["#root"], [False], []
+        self.parent, self.tag, self.mark, self.cut, self.pieces = [-1], ["#root"], [PLAIN], [False], []
 
-    def add(self, parent: int, tag: str, cut: bool) -> int:
+    def add(self, parent: int, tag: str, mark: int) -> int:
         self.parent.append(parent)
         self.tag.append(tag)
-        self.cut.append(cut)
+        self.mark.append(mark)
+        self.cut.append(mark == NO_TEXT or self.cut[parent])
         return len(self.tag) - 1
 
 
-def parse(html: str, prune: bool = True, names: bool = True) -> Tree:
+def parse(html: str, prune: bool = True) -> Tree:
     """Forgiving, linear in the page: unclosed and stray tags are mended as browsers do, roughly.
-    ``prune`` marks parts that are no article text, by class and id too if ``names``; scripts,
-    styles and comments never count."""
+    ``prune`` marks parts that may be no article text; scripts, styles and comments never count."""
     tree, stack, at, article = Tree(), [0], 0, 0
     text = tree.pieces.append
     find = _TOKEN.search
@@ -92,9 +98,20 @@ def parse(html: str, prune: bool = True, names: bool = True) -> Tree:
         elif name == "br":
             text((stack[-1], None))
         attributes = m[3] or m[6] or ""
-        cut = prune and (name in _CUT_TAGS or (name == "header" and not article) or (bool(attributes) and name not in ("html", "body", "article", "main") and _boilerplate(attributes, names)) or (name == "article" and bool(attributes) and _boilerplate(attributes, names)))
-        cut = cut or name in ("script", "style", "template", "noscript", "head", "title")
-        node = tree.add(stack[-1], name, cut or tree.cut[stack[-1]])
+        if not prune:
+            mark = NO_TEXT if name in ("script", "style", "template", "noscript", "head", "title") else PLAIN
+        elif name in _NO_TEXT:
+            mark = NO_TEXT
+        else:
+            mark = _marked(attributes) if attributes and name not in ("html", "body") else PLAIN
+            if name in _ASIDE_TAGS or (name == "header" and not article):
+                quoted = name == "footer" and any(tree.tag[k] == "blockquote" for k in stack)  # whom it quotes
+                mark = mark if quoted else max(mark, ASIDE)
+            elif mark < ASIDE and name in _HEADINGS:
+                mark = PLAIN
+            elif mark == STRONG and name in ("article", "main"):
+                mark = WEAK
+        node = tree.add(stack[-1], name, mark)
         if name in RAW and not attributes.endswith("/") or name == "script":
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*>", re.I).search(html, at)
             stop = end.start() if end else len(html)
@@ -129,18 +146,21 @@ def _end_implied(tree: Tree, stack: list[int], name: str) -> None:
                     break
 
 
-def _boilerplate(attributes: str, names: bool) -> bool:
+def _marked(attributes: str) -> int:
+    mark = PLAIN
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = (m[1] or m[5]).lower(), m[2] or m[3] or m[4] or ""
-        if names and key in ("class", "id"):
+        if key in ("class", "id"):
             for token in value.split():  # has-sidebar is said of what stands beside one
-                if not token.lower().startswith(_BESIDE) and _CUT_NAMES.search(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", token)):
-                    return True
-        if key == "role" and value.lower() in _CUT_ROLES or key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
-            return True
-        if key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
-            return True
-    return False
+                if not token.lower().startswith(_BESIDE) and (n := _NAMES.search(re.sub(r"(?<=[a-z])(?=[A-Z])", "-", token))):
+                    mark = max(mark, STRONG if n[1] else WEAK)
+        elif key == "role" and value.lower() in _ASIDE_ROLES:
+            mark = max(mark, ASIDE)
+        elif key == "hidden" or (key == "aria-hidden" and value.lower() == "true"):
+            return NO_TEXT
+        elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value, re.I):
+            return NO_TEXT
+    return mark
 
 
 def _joined(tree: Tree, wanted: list[bool] | None = None) -> str:
@@ -171,12 +191,13 @@ def page_lines(html: str | None) -> str:
 
 def main_text(html: str | None) -> str:
     """The article of a page; empty if there is none."""
-    if not html:
-        return ""
-    return _content(parse(html)) or _content(parse(html, names=False))
+    return _content(parse(html)) if html else ""
 
 
-def _content(tree: Tree) -> str:
+def densities(tree: Tree) -> tuple[list[float], list[int], list[int]]:
+    """Composite text density, characters and characters in links of every node: with C and T the characters and
+    tags under it, LC and LT those of links, and LCb and Cb the body's,
+    C/T * log(C/LC * T/LT) to the base ln(C/(C-LC) * LC + LCb/Cb * C + e); 0 without text."""
     n, parent, tag, cut = len(tree.tag), tree.parent, tree.tag, tree.cut
     chars, tags, link_chars, link_tags = [0] * n, [0] * n, [0] * n, [0] * n
     in_link = [False] * n
@@ -195,27 +216,48 @@ def _content(tree: Tree) -> str:
             link_chars[p] += link_chars[k]
             tags[p] += tags[k] + 1
             link_tags[p] += link_tags[k] + (tag[k] == "a")
-    if not chars[0]:
-        return ""
-    body = next((k for k in range(n) if tag[k] == "body" and not cut[k] and chars[k]), 0)
+    body = _body(tree, chars)
     share = link_chars[body] / max(chars[body], 1)
 
     def density(k: int) -> float:
         c, lc = chars[k], link_chars[k]
-        if not c:
+        if not c or cut[k]:
             return 0.0
         t = max(tags[k], 1)
         base = max(log(max(log(c / max(c - lc, 1) * lc + share * c + e), 1.0)), 0.1)
         return c / t * max(log(c / max(lc, 1) * t / max(link_tags[k], 1)), 0.0) / base
 
-    dense = [0.0 if cut[k] else density(k) for k in range(n)]
-    total = [0.0] * n
-    for k in range(1, n):
-        total[parent[k]] += dense[k]
-    inside = [False] * n
+    return [density(k) for k in range(n)], chars, link_chars
+
+
+def _body(tree: Tree, chars: list[int]) -> int:
+    return next((k for k in range(len(tree.tag)) if tree.tag[k] == "body" and chars[k]), 0)
+
+
+def _content(tree: Tree) -> str:
+    n, parent, tag, cut, mark = len(tree.tag), tree.parent, tree.tag, tree.cut, tree.mark
+    raw, chars, link_chars = densities(tree)
+    if not chars[0]:
+        return ""
+    body = _body(tree, chars)
+    own = [0] * n
+    for node, piece in tree.pieces:
+        if piece is not None and not cut[node]:
+            own[node] += len(piece.strip())
+    weight, plain, inside = [1.0] * n, own[:], [False] * n
     inside[body] = True
     for k in range(body + 1, n):
+        weight[k] = weight[parent[k]] * _WEIGHT[mark[k]]
         inside[k] = inside[parent[k]] and not cut[k]
+    for k in range(n - 1, body, -1):  # text that nothing marks
+        if mark[k] == PLAIN and inside[k]:
+            plain[parent[k]] += plain[k]
+    dense = [d * w for d, w in zip(raw, weight)]
+    total, children = [0.0] * n, [0] * n
+    for k in range(1, n):
+        total[parent[k]] += dense[k]
+        children[parent[k]] += chars[k] > 0
+    mean = lambda k: total[k] / max(children[k], 1)
     best = max((k for k in range(n) if inside[k]), key=lambda k: (total[k], -k))
     while best != body and tag[best] not in _CONTAINERS:  # a paragraph's or list's holder is the content
         best = parent[best]
@@ -226,23 +268,33 @@ def _content(tree: Tree) -> str:
             top = k
     if top == body:
         marked = [k for k in range(n) if inside[k] and tag[k] in ("article", "main") and tag[parent[k]] != "main"]
-        if len(marked) == 1 and 2 * chars[marked[0]] >= chars[body]:
+        if len(marked) == 1 and 2 * plain[marked[0]] >= plain[body]:
             top = marked[0]
-    wanted = [False] * n
-    wanted[top] = True
-    if tag[top] not in ("article", "main") and top != body:
-        path, k, least = [], top, dense[top]
-        while k != body:
-            k = parent[k]
-            path.append(k)
-            least = min(least, dense[k])
+    wanted, kept = [False] * n, [False] * n
+    path, k, least = [], top, dense[top]
+    while k != body:
+        k = parent[k]
+        path.append(k)
+        least = min(least, dense[k])
+    if top == body:
+        path, least = [body], dense[body]
+        kept[body] = 2 * own[body] >= plain[body]  # text that stands in no element
+    else:
+        wanted[top] = True
+    if tag[top] not in ("article", "main"):
         on = {top, *path}
         for k in range(body + 1, n):
-            if parent[k] in path and k not in on and inside[k] and dense[k] >= least and 2 * link_chars[k] < chars[k]:
+            if parent[k] in path and k not in on and inside[k] and dense[k] >= least and max(dense[k], mean(k)) >= mean(top) and 2 * link_chars[k] < chars[k]:
                 wanted[k] = True
-    for k in range(1, n):
-        wanted[k] = (wanted[k] or wanted[parent[k]]) and not cut[k]
-    return _joined(tree, wanted)
+    rest = sum(plain[k] for k in range(n) if wanted[k])
+    drop = [False] * n
+    for k in range(body + 1, n):
+        drop[k] = cut[k] or drop[parent[k]]
+        wanted[k] = wanted[k] or wanted[parent[k]]
+        if wanted[k] and not drop[k] and mark[k]:
+            as_dense = mark[k] == WEAK and raw[k] >= raw[top] and chars[k] >= 140
+            drop[k] = not as_dense and chars[k] <= 4 * rest
+    return _joined(tree, [(w or x) and not d for w, x, d in zip(wanted, kept, drop)])
 
 
 def extract(pages: DataFrame) -> DataFrame:

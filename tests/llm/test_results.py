@@ -255,6 +255,73 @@ def test_main_text(spark):
     assert html_extract.main_text(page) == "On éclairs They are long and filled with cream, as everyone knows who has had one. Short. Said a cook with many years of practice."
 
 
+PROSE = "Nobody in the old harbour town could say when the last of the tall ships had left, though many claimed to have seen it go. "
+
+
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        (f'<body><article class="notice"><p>{PROSE}</p><p>{PROSE}</p></article><div>foot</div></body>', f"{PROSE}{PROSE}"),
+        (f'<main><h1 class="header">A title</h1><p>{PROSE}</p><p>{PROSE}</p><div class="discussion"><p>{PROSE}</p><p>{PROSE}</p></div></main>', f"A title {PROSE * 4}"),
+        (f"<article><p>{PROSE}</p><p>Tick the <label>box of oak</label> and read on.</p></article>", f"{PROSE}Tick the box of oak and read on."),
+        (f'<form id="aspnet"><div><p>{PROSE}</p><p>{PROSE}</p></div></form>', PROSE * 2),
+        (f'<div id="sidebar-left-page"><div><p>{PROSE}</p><p>{PROSE}</p></div></div><div class="footer">All rights</div>', PROSE * 2),
+        (f'<div><p>{PROSE}</p><p>{PROSE}</p><section id="comments"><p>{PROSE}</p></section><div class="related"><a href=x>More of it</a></div></div>', PROSE * 2),
+        ("just words, no markup", "just words, no markup"),
+    ],
+)
+def test_main_text_of_odd_pages(page, want):
+    assert html_extract.main_text(page) == want.strip()
+
+
+def test_density_decides(spark, monkeypatch):
+    """Without article elements and names the densities find the same text; without densities nothing does."""
+    pages = [r["html"] for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    bare = [p.replace("<article>", "<div>").replace("</article>", "</div>").replace(' class="ad"', "") for p in pages]
+    found = [html_extract.main_text(p) for p in bare]
+    assert np.mean([x == html_extract.main_text(p) for x, p in zip(found, pages)]) > 0.95
+    monkeypatch.setattr(html_extract, "log", lambda x: 0.0)
+    assert np.mean([x != html_extract.main_text(p) for x, p in zip(found, bare)]) > 0.95
+
+
+def test_densities_by_brute_force():
+    from xml.etree import ElementTree
+
+    rng = random.Random(3)
+
+    def tree(depth):
+        tag = rng.choice(["div", "section", "a", "i", "b"])
+        inner = "".join(rng.choice([tree(depth - 1), "word " * rng.randint(0, 9)]) for _ in range(rng.randint(0, 4))) if depth else "text " * rng.randint(0, 5)
+        return f"<{tag}>{inner}</{tag}>"
+
+    for _ in range(60):
+        page = "<body>" + "".join(tree(3) for _ in range(3)) + "</body>"
+        root = ElementTree.fromstring(page)
+
+        def count(e, linked=False):
+            """characters, tags, characters and tags of links, under ``e``"""
+            linked = linked or e.tag == "a"
+            c = t = lc = lt = 0
+            for piece in [e.text, *[x.tail for x in e]]:
+                size = len((piece or "").strip())
+                c, lc = c + size, lc + size * linked
+            for x in e:
+                more = count(x, linked)
+                c, t, lc, lt = c + more[0], t + more[1] + 1, lc + more[2], lt + more[3] + (x.tag == "a")
+            return c, t, lc, lt
+
+        whole = count(root)
+        want = []
+        for e in root.iter():
+            linked = any(e in a.iter() for a in root.iter("a"))
+            c, t, lc, lt = count(e, linked)
+            base = max(math.log(math.log(c / max(c - lc, 1) * lc + whole[2] / max(whole[0], 1) * c + math.e)), 0.1)
+            want.append(c / max(t, 1) * max(math.log(c / max(lc, 1) * max(t, 1) / max(lt, 1)), 0) / base if c else 0)
+        got, chars, _ = html_extract.densities(html_extract.parse(page))
+        assert chars[1:] == [count(e)[0] for e in root.iter()]
+        assert got[1:] == pytest.approx(want)
+
+
 def test_warc_round_trip(spark, tmp_path):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     made = warc_derivatives.derive(warc_derivatives.responses_of_pages(pages), ["page_id"])
