@@ -174,22 +174,32 @@ def test_lm_scores(docs, texts, bound):
     uni = collections.Counter(x for k, w in words.items() if not out[k] for x in w)
     bi = collections.Counter(p for k, w in words.items() if not out[k] for p in zip([None, *w], w))
     n, v, starts = sum(uni.values()), len(uni), sum(not x for x in out.values())
-    o = lm_score.Options()
-    value = lambda c, top: min(float(lm_score.level_value(lm_score.levels_of(np.array([c]), o.base), o.base)[0]) if c else 0.0, top)
-
-    def score(w):
+    by_level = collections.defaultdict(list)
+    for x in bi.values():
+        by_level[x.bit_length()].append(x)
+    means = {k: sum(x) / len(x) for k, x in by_level.items()}
+    value = lambda x, top: min(means[x.bit_length()], top) if x else 0.0
+
+    def likelihood(k, weight, own):
+        """With ``own`` every token is left out of the counts that it made."""
         total = 0.0
-        for a, b in zip([None, *w], w):
+        for a, b in zip([None, *words[k]], words[k]):
             before = starts if a is None else uni[a]
-            total += math.log10((value(bi[a, b], min(uni[b], before)) + o.weight * (uni[b] + 1) / (n + v + 1)) / (before + o.weight))
+            pair, word = value(bi[a, b], min(uni[b], before)), uni[b] / (n + v) if own else (uni[b] + 1) / (n + v + 1)
+            total += math.log10((max(pair - own, 0) + weight * word) / (before - own + weight))
         return total
 
+    learned = [k for k in words if not out[k]]
+    weight = max(lm_score.WEIGHTS, key=lambda x: sum(likelihood(k, x, 1) for k in learned))
+    assert lm_score.TUNING_DOCS > len(learned)  # all of them are read here
+    score = lambda k: likelihood(k, weight, 0)
+
     off = 0
     for r in lm_score.lm_scores(docs, broadcast_bytes=bound).collect():
         w = words[r["doc_id"]]
         assert (r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"]) == (out[r["doc_id"]], len(w), sum(x in uni for x in w), n)
         assert r["base_score"] == pytest.approx(sum(math.log10((uni[x] + 1) / (n + v + 1)) for x in w), abs=1e-6)
-        off += abs(r["score"] - score(w)) / len(w)  # the filter's false positives alone
+        off += abs(r["score"] - score(r["doc_id"])) / len(w)  # the filter's false positives alone
         assert r["score"] > r["base_score"] or len(w) < 20 or r["held_out"]
     assert off / len(words) < 0.01
 
