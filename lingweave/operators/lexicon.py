@@ -9,20 +9,32 @@ from ..functions import text as T
 from .matching import cut_lineage
 
 
-def word_index(docs: DataFrame, max_occurrences: int = -1, id_col: str = "doc_idx") -> DataFrame:
-    """lang, word, doc_idxs. Words are distinct per document before their outer punctuation
-    goes, so a document with ``foo`` and ``foo,`` counts twice; words in more places than
+def postings(docs: DataFrame, max_occurrences: int = -1, id_col: str = "doc_idx") -> DataFrame:
+    """lang, word, doc: a row a document and word. Words are distinct per document before their outer
+    punctuation goes, so a document with ``foo`` and ``foo,`` has two; words in more places than
     ``max_occurrences`` drop out (-1: none)."""
     # the one-element list keeps the optimiser from splitting each text once more for a filter
     split = docs.select("lang", id_col, F.explode(F.array(F.array_distinct(T.tokens(F.lower("text"))))).alias("t"))
     w = split.select("lang", id_col, F.explode("t").alias("w"))
-    stripped = w.select("lang", id_col, T.strip_punctuation(F.col("w")).alias("word")).filter("word <> ''")
-    # the count comes first, so that a stop word's list is never collected
+    stripped = w.select("lang", T.strip_punctuation(F.col("w")).alias("word"), F.col(id_col).alias("doc")).filter("word <> ''")
     if max_occurrences >= 0:
-        stripped = cut_lineage(stripped)
+        # one exchange: counts and rows are both by word
+        stripped = stripped.repartition("lang", "word")
         rare = stripped.groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") <= max_occurrences)
-        stripped = stripped.join(rare.select("lang", "word"), ["lang", "word"], "left_semi")
-    return stripped.groupBy("lang", "word").agg(F.array_sort(F.collect_list(id_col)).alias("doc_idxs"))
+        stripped = stripped.join(rare.select("lang", "word").hint("shuffle_hash"), ["lang", "word"], "left_semi")
+    return stripped
+
+
+def word_index(docs: DataFrame, max_occurrences: int = -1, id_col: str = "doc_idx") -> DataFrame:
+    """lang, word, doc_idxs: :func:`postings` as sorted lists. With ``max_occurrences`` the count comes first,
+    so that a stop word's list is never collected."""
+    return postings(docs, max_occurrences, id_col).groupBy("lang", "word").agg(F.array_sort(F.collect_list("doc")).alias("doc_idxs"))
+
+
+def _rows(index: DataFrame) -> DataFrame:
+    """Distinct lang, word, doc of an index of lists or of postings."""
+    rows = index.select("lang", "word", F.explode("doc_idxs").alias("doc")) if "doc_idxs" in index.columns else index
+    return rows.select("lang", "word", "doc").distinct()
 
 
 def identical_words(index: DataFrame, lang1: str, lang2: str) -> DataFrame:
@@ -40,25 +52,25 @@ def bow_candidates(index: DataFrame, dictionary: DataFrame, lang1: str, lang2: s
     """src_idx, trg_idx, bow_overlap_score of every pair that shares a translated word.
 
     With V1, V2 the documents' words, T2 the translations of V2's and k2 the number of V2's
-    with any: min(|V1|,|V2|) / max(|V1|,|V2|) * |V1 and T2| / k2. An equi-join of postings
-    on the translated word; ``hosts`` (lang, doc_idx, host) adds the host as a key.
+    with any: min(|V1|,|V2|) / max(|V1|,|V2|) * |V1 and T2| / k2. ``index``: postings or an index of lists. An
+    equi-join on the translated word, of rows that carry their document's counts, so nothing is joined to the
+    pairs; ``hosts`` (lang, doc_idx, host) adds the host as a key.
     """
-    posts = cut_lineage(index.select("lang", "word", F.explode("doc_idxs").alias("doc")).distinct())  # read five times
-    one = posts.filter(F.col("lang") == lang1).select(F.col("doc").alias("src_idx"), "word")
-    two = posts.filter(F.col("lang") == lang2).select(F.col("doc").alias("trg_idx"), "word")
-    pairs_of_words = dictionary.select(F.col("trg_word").alias("word"), F.col("src_word").alias("translation")).distinct()
-    translated = two.join(pairs_of_words, "word")
-    known = translated.groupBy("trg_idx").agg(F.count_distinct("word").alias("k2"))
-    reach = translated.select("trg_idx", F.col("translation").alias("word")).distinct()
+    posts = cut_lineage(_rows(index))
+    of = lambda lang, name: posts.filter(F.col("lang") == lang).select(F.col("doc").alias(name), "word")
+    one, two = of(lang1, "src_idx"), of(lang2, "trg_idx")
+    one = one.withColumn("v1", F.count(F.lit(1)).over(Window.partitionBy("src_idx")))
+    two = two.withColumn("v2", F.count(F.lit(1)).over(Window.partitionBy("trg_idx")))
+    table = dictionary.select(F.col("trg_word").alias("word"), F.col("src_word").alias("translation")).distinct()
+    known = table.groupBy("word").agg(F.collect_set("translation").alias("translations"))
+    reach = two.join(known, "word").withColumn("k2", F.count(F.lit(1)).over(Window.partitionBy("trg_idx")))
+    reach = reach.select("trg_idx", "v2", "k2", F.explode("translations").alias("word")).distinct()
     keys = ["word"]
     if hosts is not None:
         one = one.join(hosts.filter(F.col("lang") == lang1).select(F.col("doc_idx").alias("src_idx"), "host"), "src_idx")
         reach = reach.join(hosts.filter(F.col("lang") == lang2).select(F.col("doc_idx").alias("trg_idx"), "host"), "trg_idx")
         keys.append("host")
-    shared = one.join(reach, keys).groupBy("src_idx", "trg_idx").agg(F.count(F.lit(1)).alias("shared"))
-    v1 = posts.filter(F.col("lang") == lang1).groupBy(F.col("doc").alias("src_idx")).agg(F.count(F.lit(1)).alias("v1"))
-    v2 = posts.filter(F.col("lang") == lang2).groupBy(F.col("doc").alias("trg_idx")).agg(F.count(F.lit(1)).alias("v2"))
-    both = shared.join(v1, "src_idx").join(v2, "trg_idx").join(known, "trg_idx")
+    both = one.join(reach, keys).groupBy("src_idx", "trg_idx").agg(F.count(F.lit(1)).alias("shared"), F.max("v1").alias("v1"), F.max("v2").alias("v2"), F.max("k2").alias("k2"))
     ratio = F.least("v1", "v2").cast("double") / F.greatest("v1", "v2")
     return both.select("src_idx", "trg_idx", (ratio * F.col("shared") / F.col("k2")).alias("bow_overlap_score"))
 

@@ -34,11 +34,9 @@ def read(spark: SparkSession, sf: str, table: str) -> DataFrame:
 # --- inputs -------------------------------------------------------------------
 
 
-def halves(spark: SparkSession, sf: str, lang: str | None = "en") -> DataFrame:
-    """Documents of ``lang`` (None: all), even ids against odd ones, in place of a translated pair of
-    collections. Queries with SQL read English alone, as it does."""
+def halves(spark: SparkSession, sf: str) -> DataFrame:
+    """All documents, even ids against odd ones, in place of a translated pair of collections."""
     d = read(spark, sf, "documents")
-    d = d if lang is None else d.filter(F.col("lang") == lang)
     return d.select(F.when(F.col("doc_id") % 2 == 0, "src").otherwise("trg").alias("side"), F.col("doc_id").alias("doc_idx"), F.lower("text").alias("text"))
 
 
@@ -65,15 +63,15 @@ def page_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return side("fr", "src").join(side("en", "trg"), "host")
 
 
-def languages(spark: SparkSession, sf: str, lang: str | None = "en") -> DataFrame:
-    d = halves(spark, sf, lang)
+def languages(spark: SparkSession, sf: str) -> DataFrame:
+    d = halves(spark, sf)
     return d.select(F.when(F.col("side") == "src", "l1").otherwise("l2").alias("lang"), "doc_idx", "text")
 
 
 SEG = """seg AS (SELECT a.conv_id, a.turn, 'http://c' || a.conv_id AS src_url, 'http://d' || (a.conv_id % 50) AS trg_url, a.text AS src_text, b.text AS trg_text,
   CAST(length(a.text) % 10 AS DOUBLE) / 10 AS aligner_score, CAST((a.conv_id * 7 + a.turn) % 100 AS DOUBLE) / 100 AS pair_score
   FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1)"""
-GRAMS = """docs AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'src' ELSE 'trg' END AS side, doc_id AS doc_idx, list_filter(string_split_regex(lower(text), '[ \\n]+'), lambda x: x <> '') AS w FROM documents WHERE lang = 'en'),
+GRAMS = """docs AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'src' ELSE 'trg' END AS side, doc_id AS doc_idx, list_filter(string_split_regex(lower(text), '[ \\n]+'), lambda x: x <> '') AS w FROM documents),
   grams AS (SELECT side, doc_idx, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS ngram FROM docs WHERE len(w) >= 2),
   tf AS (SELECT side, doc_idx, ngram, count(*) AS tf FROM grams GROUP BY ALL),
   df AS (SELECT ngram, count(*) AS df FROM tf GROUP BY ngram)"""
@@ -109,30 +107,30 @@ def tfidf_doc_match(spark, sf):
     return matching.greedy_match(pairs).select("src_idx", "trg_idx", F.round("score", 5).alias("score"))
 
 
-@query(f"WITH {_pairs_sql(2, 60)} SELECT src_idx, trg_idx, round(score, 5) AS score FROM pairs")
+@query(f"WITH {_pairs_sql(2, 1000)} SELECT src_idx, trg_idx, round(score, 5) AS score FROM pairs")
 def tfidf_all_pairs(spark, sf):
-    pairs = tfidf.similarity(halves(spark, sf), max_count=60)
+    pairs = tfidf.similarity(halves(spark, sf))
     return pairs.select("src_idx", "trg_idx", F.round("score", 5).alias("score"))
 
 
-@query(f"WITH {GRAMS} SELECT ngram, df FROM df WHERE df BETWEEN 2 AND 60")
+@query(f"WITH {GRAMS} SELECT ngram, df FROM df WHERE df BETWEEN 2 AND 1000")
 def doc_freq_pruned(spark, sf):
-    return tfidf.document_frequency(tfidf.term_counts(halves(spark, sf))).filter("df between 2 and 60")
+    return tfidf.document_frequency(tfidf.term_counts(halves(spark, sf))).filter("df between 2 and 1000")
 
 
-@query(f"WITH {_weights_sql(2, 60)} SELECT side, doc_idx, ngram, tf, df, round(w, 7) AS w, in_vector FROM wt")
+@query(f"WITH {_weights_sql(2, 1000)} SELECT side, doc_idx, ngram, tf, df, round(w, 7) AS w, in_vector FROM wt")
 def tfidf_weights(spark, sf):
     d = halves(spark, sf)
     tf = tfidf.term_counts(d)
-    w = tfidf.weights(tf, d.agg(F.count(F.lit(1)).cast("double").alias("n")), tfidf.document_frequency(tf), 2, 60)
+    w = tfidf.weights(tf, d.agg(F.count(F.lit(1)).cast("double").alias("n")), tfidf.document_frequency(tf))
     return w.withColumn("w", F.round("w", 7))
 
 
-@query(f"WITH {_weights_sql(2, 60)} SELECT side, doc_idx, round(norm, 6) AS norm FROM norm")
+@query(f"WITH {_weights_sql(2, 1000)} SELECT side, doc_idx, round(norm, 6) AS norm FROM norm")
 def doc_norms(spark, sf):
     d = halves(spark, sf)
     tf = tfidf.term_counts(d)
-    w = tfidf.weights(tf, d.agg(F.count(F.lit(1)).cast("double").alias("n")), tfidf.document_frequency(tf), 2, 60)
+    w = tfidf.weights(tf, d.agg(F.count(F.lit(1)).cast("double").alias("n")), tfidf.document_frequency(tf))
     return tfidf.norms(w).withColumn("norm", F.round("norm", 6))
 
 
@@ -144,7 +142,7 @@ def df_sampled(spark, sf):
 # --- lexicon ------------------------------------------------------------------
 
 _P = T.PUNCTUATION.replace("'", "''")
-INDEX = f"""d AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'l1' ELSE 'l2' END AS lang, doc_id AS doc_idx, lower(text) AS text FROM documents WHERE lang = 'en'),
+INDEX = f"""d AS (SELECT CASE WHEN doc_id % 2 = 0 THEN 'l1' ELSE 'l2' END AS lang, doc_id AS doc_idx, lower(text) AS text FROM documents),
   ws AS (SELECT lang, doc_idx, unnest(list_distinct(list_filter(string_split_regex(text, '[ \\n]+'), lambda x: x <> ''))) AS w FROM d),
   st AS (SELECT lang, doc_idx, trim(w, '{_P}') AS word FROM ws WHERE trim(w, '{_P}') <> '')"""
 
@@ -171,8 +169,8 @@ def word_index_maxocc(spark, sf):
     return lexicon.word_index(languages(spark, sf), 15)
 
 
-def _index(spark, sf, lang="en"):
-    return matching.cut_lineage(lexicon.word_index(languages(spark, sf, lang), 15))
+def _index(spark, sf):
+    return matching.cut_lineage(lexicon.postings(languages(spark, sf), 15))
 
 
 def _bow(index, one, two):
@@ -197,8 +195,8 @@ def identical_word_dictionary(spark, sf):
     return lexicon.identical_words(lexicon.word_index(languages(spark, sf)), "l1", "l2")
 
 
-def _both_ways(spark, sf, lang="en"):
-    index = _index(spark, sf, lang)
+def _both_ways(spark, sf):
+    index = _index(spark, sf)
     forward = _bow(index, "l1", "l2").select("src_idx", "trg_idx", F.round("bow_overlap_score", 9).alias("score"))
     back = _bow(index, "l2", "l1").select(F.col("trg_idx").alias("src_idx"), F.col("src_idx").alias("trg_idx"), F.round("bow_overlap_score", 9).alias("score"))
     return forward, back
@@ -217,7 +215,7 @@ def mutual_best(spark, sf):
 
 @query()
 def mutual_converge(spark, sf):
-    return matching.reconcile(*_both_ways(spark, sf, None))
+    return matching.reconcile(*_both_ways(spark, sf))
 
 
 # --- page features ------------------------------------------------------------
@@ -405,7 +403,7 @@ def base64_round_trip(spark, sf):
 
 
 def _document_pairs(spark, sf):
-    m = matching.greedy_match(tfidf.similarity(halves(spark, sf, None))).select("src_idx", "trg_idx", F.round("score", 5).alias("score"))
+    m = matching.greedy_match(tfidf.similarity(halves(spark, sf))).select("src_idx", "trg_idx", F.round("score", 5).alias("score"))
     d = read(spark, sf, "documents").select(F.col("doc_id").alias("doc_idx"), "text")
     p = docjoin.join_documents(m, d, d, ["text"])
     return p.select("src_idx", "trg_idx", F.filter(F.split("src_text", "\n"), lambda x: x != "").alias("src_sents"), F.filter(F.split("trg_text", "\n"), lambda x: x != "").alias("trg_sents"))
