@@ -69,10 +69,12 @@ def _majority(hashes: list[np.ndarray], sizes: list[int]) -> np.ndarray:
     return np.ascontiguousarray(on).view("<u8").ravel()
 
 
-def word_fingerprint(words: list[bytes], seed: int) -> int:
+def word_fingerprint(text: str | None, seed: int) -> int:
     """64-bit SimHash of the distinct words, each weighing the logarithm of its count plus one: far
     less is changed by an edited word than with n-grams, and one frequent word can't decide alone."""
-    counts = Counter(words)
+    counts = Counter(text.encode("utf-8", "surrogatepass").lower().split()) if text else None
+    if not counts:
+        return 0
     hashes = np.fromiter((xxhash.xxh64_intdigest(w, seed) for w in counts), np.uint64, len(counts))
     weight = np.log1p(np.fromiter(counts.values(), np.float64, len(counts)))
     bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -85,8 +87,7 @@ def paired_fingerprints(docs: DataFrame, n: int = 3, seed: int = 42) -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(2).to_pylist()
-            words = [t.encode("utf-8", "surrogatepass").lower().split() if t else [] for t in texts]
-            fp = np.array([word_fingerprint(w, seed) if w else 0 for w in words], np.uint64).view(np.int64)
+            fp = np.array([word_fingerprint(t, seed) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(fp), pa.array(_fingerprints(texts, n, seed).view(np.int64))], ["doc_id", "text_key", "fp", "v"])
 
     return docs.select(F.col("doc_id").cast("long"), text_key(), F.col("text").cast("string")).mapInArrow(run, "doc_id long, text_key long, fp long, v long")
