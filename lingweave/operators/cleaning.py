@@ -72,11 +72,15 @@ def quality_notes(min_tokens: int = 3) -> Column:
     )
 
 
+#: UTF-8 read as Latin-1, for the frequent letters and marks.
+MISREAD = (("Ã©", "é"), ("Ã¨", "è"), ("Ã¡", "á"), ("Ã³", "ó"), ("Ã±", "ñ"), ("Ã¼", "ü"), ("Ã¶", "ö"), ("Ã¤", "ä"), ("Ã§", "ç"), ("â€™", "’"), ("â€œ", "“"), ("â€“", "–"))
+
+
 def repair(text: Column) -> Column:
     """Common damage: decoding of UTF-8 as Latin-1 for the frequent letters, typographic
     variants of quotes, dashes and dots, control characters, space before marks."""
     c = text
-    for bad, good in (("Ã©", "é"), ("Ã¨", "è"), ("Ã¡", "á"), ("Ã³", "ó"), ("Ã±", "ñ"), ("Ã¼", "ü"), ("Ã¶", "ö"), ("Ã¤", "ä"), ("Ã§", "ç"), ("â€™", "’"), ("â€œ", "“"), ("â€“", "–")):
+    for bad, good in MISREAD:
         c = F.replace(c, F.lit(bad), F.lit(good))
     c = F.translate(c, "‘’‚“”„–—", "'''\"\"\"--")
     c = F.replace(c, F.lit("…"), F.lit("..."))
@@ -136,7 +140,8 @@ def group_duplicates(df: DataFrame, keys: list[str], sets: dict[str, str]) -> Da
 
 
 def best_of_duplicates(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
-    """The first row of each group in sort order."""
+    """The first row of each group in sort order. Each task keeps but its own first before the exchange
+    (a group limit on the row number), so a group of any size is one row a task."""
     return df.withColumn("__k", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("__k = 1").drop("__k")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .matching import cut_lineage
+
 
 def join_documents(matches: DataFrame, src: DataFrame, trg: DataFrame, columns: list[str], id_col: str = "doc_idx") -> DataFrame:
     """src_idx, trg_idx and both sides' ``columns`` as src_x, trg_x. The matches, narrow and at
@@ -60,11 +62,22 @@ def interleave(lines: DataFrame, blocks: int, id_col: str = "line_no") -> DataFr
     return both.withColumn("n", checked).select(((F.col(id_col) % size) * blocks + F.expr(f"{id_col} div (n div {int(blocks)})")).alias(id_col), "line")
 
 
+def numbered(df: DataFrame, order: list, name: str = "place") -> DataFrame:
+    """``df`` with its rows' places in the order, from 1: numbers within range partitions, shifted by the counts
+    before them, so no task sorts all rows. Only counts, one a partition, meet in one task."""
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    parts = cut_lineage(sorted_.withColumn("__part", F.spark_partition_id()).withColumn("__m", F.monotonically_increasing_id()))
+    first = parts.groupBy("__part").agg(F.min("__m").alias("__first"), F.count(F.lit(1)).alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    shifts = first.select("__part", "__first", before.alias("__before"))
+    return parts.join(F.broadcast(shifts), "__part").withColumn(name, F.col("__m") - F.col("__first") + F.col("__before") + 1).select(*df.columns, name)
+
+
 def head_of_both(a: DataFrame, b: DataFrame, id_col: str) -> tuple[DataFrame, DataFrame]:
-    """As many first rows of each as the shorter has. Row numbers come from counts of range
-    partitions, so no task sorts all rows."""
+    """As many first rows of each as the shorter has, by :func:`numbered` places."""
     n = min(a.count(), b.count())
-    return a.orderBy(id_col).limit(n), b.orderBy(id_col).limit(n)
+    head = lambda d: numbered(d, [F.col(id_col)], "__place").filter(F.col("__place") <= n).drop("__place")
+    return head(a), head(b)
 
 
 def swap_columns(df: DataFrame, pairs: list[tuple[str, str]]) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 import pandas as pd
@@ -26,6 +27,8 @@ def _shared(spark: SparkSession) -> str:
         import tempfile
 
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
+        if not found.isDefined() and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         base = found.get() if found.isDefined() else "file://" + tempfile.mkdtemp(prefix="lingweave-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")

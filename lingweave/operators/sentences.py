@@ -8,6 +8,7 @@ from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,15 +37,18 @@ def sentences(
     """keys..., sent_idx, text, paragraph_id. Each line is a paragraph; sentences are pruned, filtered,
     stripped and emptied in that order. A document without any keeps one row with a null sentence."""
     keys = keys or ["doc_idx"]
-    lines = docs.select(*keys, F.posexplode_outer(F.split("text", "\n")).alias("p", "line"), F.size(F.split("text", "\n")).alias("n_p"))
-    pieces = splitter(F.col("line")) if splitter else F.array("line")
     ok = lambda s: within(s, prune, prune_by) & (~is_noise(s) if drop_noise else F.lit(True)) & (F.btrim(s) != "")
-    kept = F.transform(F.filter(pieces, ok), lambda s: F.btrim(s))
-    rows = lines.select(*keys, "p", "n_p", kept.alias("s")).select(*keys, "p", "n_p", F.size("s").alias("n_s"), F.posexplode_outer("s").alias("k", "text"))
-    numbered = rows.withColumn("paragraph_id", F.format_string("p%d:%ds%d/%d", F.col("p") + 1, F.col("n_p"), F.col("k") + 1, F.col("n_s")))
-    order = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("text").isNull(), "p", "k"))
-    numbered = numbered.withColumn("sent_idx", order - 1)
-    return numbered.filter(F.col("text").isNotNull() | (F.col("sent_idx") == 0)).select(*keys, "sent_idx", "text", "paragraph_id")
+    kept = lambda line: F.transform(F.filter(splitter(line) if splitter else F.array(line), ok), lambda s: F.btrim(s))
+    try:  # numbered within the row, so that nothing is shuffled
+        by_line = docs.select(*keys, F.transform(F.split("text", "\n"), kept).alias("l"))
+    except AnalysisException:  # a splitter in Python takes a column, not a lambda's variable
+        lines = docs.select(*keys, F.posexplode_outer(F.split("text", "\n")).alias("p", "line"))
+        grouped = lines.select(*keys, "p", kept(F.col("line")).alias("s")).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("p", "s"))).alias("l"))
+        by_line = grouped.select(*keys, F.transform("l", lambda x: x["s"]).alias("l"))
+    tag = lambda p, n_p, k, n_s: F.concat(F.lit("p"), (p + 1).cast("string"), F.lit(":"), n_p.cast("string"), F.lit("s"), (k + 1).cast("string"), F.lit("/"), n_s.cast("string"))
+    numbered = F.transform("l", lambda s, p: F.transform(s, lambda x, k: F.struct(x.alias("text"), tag(p, F.size("l"), k, F.size(s)).alias("paragraph_id"))))
+    rows = by_line.select(*keys, F.posexplode_outer(F.flatten(numbered)).alias("sent_idx", "s"))
+    return rows.select(*keys, F.coalesce("sent_idx", F.lit(0)).alias("sent_idx"), "s.text", "s.paragraph_id")
 
 
 def tokenise(lines: DataFrame, column: str = "text") -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -57,10 +58,11 @@ def segments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def page_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    """French and English pages of one host."""
-    p = read(spark, sf, "pages").select("page_id", "url", "html", html.page_language(F.col("html")).alias("lang"), T.host(F.col("url")).alias("host"))
-    side = lambda lang, x: p.filter(F.col("lang") == lang).select("host", *[F.col(c).alias(f"{x}_{c}") for c in ("page_id", "url", "html")])
-    return side("fr", "src").join(side("en", "trg"), "host")
+    """src_id, trg_id, host: every page with the three that follow it on its host."""
+    p = read(spark, sf, "pages").select("page_id", T.host(F.col("url")).alias("host"))
+    p = p.withColumn("place", F.row_number().over(Window.partitionBy("host").orderBy("page_id")))
+    near = p.select("host", F.col("page_id").alias("src_id"), F.explode(F.array(*[F.col("place") + k for k in (1, 2, 3)])).alias("place"))
+    return near.join(p.withColumnRenamed("page_id", "trg_id"), ["host", "place"]).select("src_id", "trg_id", "host")
 
 
 def languages(spark: SparkSession, sf: str) -> DataFrame:
@@ -220,8 +222,8 @@ def mutual_converge(spark, sf):
 
 # --- page features ------------------------------------------------------------
 
-PAIRS = """p AS (SELECT page_id, url, html, lower(regexp_extract(html, '(?i)<html[^>]*\\blang\\s*=\\s*["'']?([a-zA-Z]{2,3})', 1)) AS lang, regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)', 1) AS host FROM pages),
-  pp AS (SELECT a.page_id AS src_id, b.page_id AS trg_id, a.url AS src_url, b.url AS trg_url, a.html AS src_html, b.html AS trg_html FROM p a JOIN p b ON a.host = b.host WHERE a.lang = 'fr' AND b.lang = 'en')"""
+PAIRS = """p AS (SELECT *, row_number() OVER (PARTITION BY host ORDER BY page_id) AS place FROM (SELECT page_id, url, html, regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)', 1) AS host FROM pages)),
+  pp AS (SELECT a.page_id AS src_id, b.page_id AS trg_id, a.url AS src_url, b.url AS trg_url, a.html AS src_html, b.html AS trg_html FROM p a JOIN p b ON a.host = b.host AND b.place - a.place BETWEEN 1 AND 3)"""
 _HREF = """'href\\s*=\\s*[''"]\\s*([^''"]+)[''"]'"""
 _IMG = """'<img [^>]*src\\s*=\\s*[''"]\\s*([^''"]+)[''"]'"""
 
@@ -234,51 +236,72 @@ def _set_overlap(pattern: str) -> str:
 
 @query(f"WITH {PAIRS} SELECT src_id, trg_id, round({_set_overlap(_HREF)}, 9) AS urls_overlap_score FROM pp")
 def url_set_overlap(spark, sf):
-    return _page_feature(spark, sf, lambda: T.jaccard(T.links(F.col("src_html")), T.links(F.col("trg_html"))), "urls_overlap_score")
+    return _page_feature(spark, sf, {"links": T.links(F.col("html"))}, lambda: T.jaccard(F.col("src_links"), F.col("trg_links")), "urls_overlap_score")
 
 
-@query(f"WITH {PAIRS} SELECT src_id, trg_id, CAST(round({_set_overlap(_IMG)}, 9) AS DOUBLE) AS images_overlap_score FROM pp")
+@query(f"WITH {PAIRS}, ii AS (SELECT src_id, trg_id, replace(src_html, '<a href', '<img src') AS src_html, replace(trg_html, '<a href', '<img src') AS trg_html FROM pp) SELECT src_id, trg_id, CAST(round({_set_overlap(_IMG)}, 9) AS DOUBLE) AS images_overlap_score FROM ii")
 def image_set_overlap(spark, sf):
-    return _page_feature(spark, sf, lambda: T.jaccard(T.images(F.col("src_html")), T.images(F.col("trg_html"))), "images_overlap_score")
+    """The pages have no images, so their links are made some."""
+    images = T.images(F.replace("html", F.lit("<a href"), F.lit("<img src")))
+    return _page_feature(spark, sf, {"images": images}, lambda: T.jaccard(F.col("src_images"), F.col("trg_images")), "images_overlap_score")
 
 
-def _page_feature(spark, sf, value, name):
-    return page_pairs(spark, sf).select(F.col("src_page_id").alias("src_id"), F.col("trg_page_id").alias("trg_id"), F.round(value(), 9).alias(name))
+def _sides(spark, sf, features_: dict[str, Column]) -> DataFrame:
+    """Page pairs with what is read off each page once, as src_x and trg_x."""
+    p = read(spark, sf, "pages").select("page_id", *[c.alias(n) for n, c in features_.items()])
+    side = lambda x: p.select(F.col("page_id").alias(f"{x}_id"), *[F.col(n).alias(f"{x}_{n}") for n in features_])
+    return page_pairs(spark, sf).join(side("src"), "src_id").join(side("trg"), "trg_id")
 
 
-_PATH = lambda u: f"replace({u}, regexp_extract({u}, '(https?://[^/:]+)', 1), '')"
+def _page_feature(spark, sf, features_, value, name):
+    return _sides(spark, sf, features_).select("src_id", "trg_id", F.round(value(), 9).alias(name))
 
 
-@query(
-    f"""WITH {PAIRS}, q AS (SELECT src_id, trg_id, {_PATH('src_url')} AS a, {_PATH('trg_url')} AS b FROM pp)
-  SELECT src_id, trg_id, round(CASE WHEN length(a) = 0 OR length(b) = 0 THEN 0.0 ELSE CAST(levenshtein(a, b) AS DOUBLE) / greatest(length(a), length(b)) END, 9) AS urls_distance FROM q"""
-)
+_ORIGIN = lambda u: f"regexp_extract({u}, '(https?://[^/:]+)', 1)"
+_WITHOUT = lambda t, u: f"CASE WHEN {_ORIGIN(u)} = '' THEN {t} ELSE replace({t}, {_ORIGIN(u)}, '') END"
+_PATH = lambda u: _WITHOUT(u, u)
+_EDITS = "CASE WHEN length(a) = 0 OR length(b) = 0 THEN 0.0 ELSE CAST(levenshtein(a, b) AS DOUBLE) / greatest(length(a), length(b)) END"
+
+
+def _path():
+    return T.without_origin(F.col("url"), F.col("url"))
+
+
+@query(f"WITH {PAIRS}, q AS (SELECT src_id, trg_id, {_PATH('src_url')} AS a, {_PATH('trg_url')} AS b FROM pp) SELECT src_id, trg_id, round({_EDITS}, 9) AS urls_distance FROM q")
 def url_distance(spark, sf):
-    path = lambda c: T.without_origin(F.col(c), F.col(c))
-    return _page_feature(spark, sf, lambda: T.edit_distance(path("src_url"), path("trg_url")), "urls_distance")
+    return _page_feature(spark, sf, {"path": _path()}, lambda: T.edit_distance(F.col("src_path"), F.col("trg_path")), "urls_distance")
 
 
-@query()
+def _link_text(x: str) -> str:
+    links = f"regexp_replace(array_to_string(regexp_extract_all({x}_html, {_HREF}, 1), ''), '[^ -~]', '', 'g')"
+    return _WITHOUT(links, f"{x}_url")
+
+
+@query(f"WITH {PAIRS}, q AS (SELECT src_id, trg_id, {_link_text('src')} AS a, {_link_text('trg')} AS b FROM pp) SELECT src_id, trg_id, round({_EDITS}, 9) AS document_urls_distance FROM q")
 def doc_urls_distance(spark, sf):
-    side = lambda x: T.without_origin(F.array_join(T.links(F.col(f"{x}_html")), ""), F.col(f"{x}_url"))
-    return _page_feature(spark, sf, lambda: T.edit_distance(side("src"), side("trg")), "document_urls_distance")
+    """Characters beyond ASCII are left out, since the SQL's edit distance counts bytes."""
+    text = T.without_origin(F.regexp_replace(F.array_join(T.links(F.col("html")), ""), "[^ -~]", ""), F.col("url"))
+    return _page_feature(spark, sf, {"text": text}, lambda: T.edit_distance(F.col("src_text"), F.col("trg_text")), "document_urls_distance")
 
 
-@query()
+@query(f"WITH {PAIRS} SELECT src_id, trg_id, CAST(CASE (src_id + trg_id) % 3 WHEN 0 THEN 1 WHEN 1 THEN {_ORIGIN('src_url')} = {_ORIGIN('trg_url')} ELSE 0 END AS DOUBLE) AS src_doc_linked_by_trg_doc FROM pp")
 def mutually_linked(spark, sf):
-    targets = lambda: features.resolved_links(F.col("trg_url"), T.links(F.col("trg_html")))
-    return _page_feature(spark, sf, lambda: F.array_contains(targets(), F.col("src_url")).cast("double"), "src_doc_linked_by_trg_doc")
+    """No page links to another here, so two of three targets get a link to the source: whole or by path."""
+    both = _sides(spark, sf, {"url": F.col("url"), "path": _path(), "links": T.links(F.col("html"))})
+    n = (F.col("src_id") + F.col("trg_id")) % 3
+    links = F.when(n == 0, F.array_append("trg_links", F.col("src_url"))).when(n == 1, F.array_append("trg_links", F.col("src_path"))).otherwise(F.col("trg_links"))
+    return both.select("src_id", "trg_id", F.array_contains(features.resolved_links(F.col("trg_url"), links), F.col("src_url")).cast("double").alias("src_doc_linked_by_trg_doc"))
 
 
 @query()
 def structure_similarity(spark, sf):
-    return _page_feature(spark, sf, lambda: features.structure_similarity(features.tag_string(F.col("src_html")), features.tag_string(F.col("trg_html"))), "structure_distance")
+    return _page_feature(spark, sf, {"tags": features.tag_string(F.col("html"))}, lambda: features.structure_similarity(F.col("src_tags"), F.col("trg_tags")), "structure_distance")
 
 
 def _candidates(spark, sf):
     p = read(spark, sf, "pages").select(F.col("page_id").alias("doc_idx"), "url", "html")
-    pairs = page_pairs(spark, sf).select(F.col("src_page_id").alias("src_idx"), F.col("trg_page_id").alias("trg_idx"), F.lit(0.5).alias("bow_overlap_score"))
-    found = features.page_features(p)
+    pairs = page_pairs(spark, sf).select(F.col("src_id").alias("src_idx"), F.col("trg_id").alias("trg_idx"), F.lit(0.5).alias("bow_overlap_score"))
+    found = matching.cut_lineage(features.page_features(p))
     return features.pair_features(pairs, found, found)
 
 
@@ -298,11 +321,9 @@ def candidate_ranking(spark, sf):
   SELECT src_id, trg_id, round(greatest(0, least(1, 0.5 + o * 0.4 + d * -0.3)), 9) AS rank_score FROM s"""
 )
 def linear_ranking(spark, sf):
-    path = lambda c: T.without_origin(F.col(c), F.col(c))
-    f = page_pairs(spark, sf).select(
-        F.col("src_page_id").alias("src_id"), F.col("trg_page_id").alias("trg_id"),
-        T.jaccard(T.links(F.col("src_html")), T.links(F.col("trg_html"))).alias("urls_overlap_score"), T.edit_distance(path("src_url"), path("trg_url")).alias("urls_distance"),
-    )
+    f = _sides(spark, sf, {"path": _path(), "links": T.links(F.col("html"))}).select(
+        "src_id", "trg_id", T.jaccard(F.col("src_links"), F.col("trg_links")).alias("urls_overlap_score"), T.edit_distance(F.col("src_path"), F.col("trg_path")).alias("urls_distance")
+    )
     return f.select("src_id", "trg_id", F.round(training.linear_rank({"urls_overlap_score": 0.4, "urls_distance": -0.3}, 0.5), 9).alias("rank_score"))
 
 
@@ -313,7 +334,7 @@ def url_filter(spark, sf):
 
 @query(f"WITH {PAIRS} SELECT src_id, trg_id FROM pp")
 def same_host_pairs(spark, sf):
-    return page_pairs(spark, sf).select(F.col("src_page_id").alias("src_id"), F.col("trg_page_id").alias("trg_id"))
+    return page_pairs(spark, sf).select("src_id", "trg_id")
 
 
 @query("SELECT regexp_extract(regexp_extract(url, '^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/@]*@)?([^/:?#]+)', 1), '([^.]+\\.[^.]+)$', 1) AS domain, count(*) AS pages FROM pages GROUP BY ALL")
@@ -372,14 +393,22 @@ def prune_chars(spark, sf):
 @query(
     f"""WITH {LINES}, k AS (SELECT doc_id, p, n, trim(line) AS text FROM l WHERE NOT contains(line, chr(0)) AND {_NOISE} < length(line) // 2 AND trim(line) <> ''),
   r AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY p) - 1 AS sent_idx, text, 'p' || p || ':' || n || 's1/1' AS paragraph_id FROM k)
-  SELECT d.doc_id, coalesce(sent_idx, 0) AS sent_idx, text AS text, paragraph_id FROM (SELECT doc_id FROM documents) d LEFT JOIN r USING (doc_id) WHERE text IS NOT NULL"""
+  SELECT d.doc_id, CAST(coalesce(sent_idx, 0) AS INTEGER) AS sent_idx, text AS text, paragraph_id FROM (SELECT doc_id FROM documents) d LEFT JOIN r USING (doc_id)"""
 )
 def sentence_ids(spark, sf):
-    s = sentences.sentences(read(spark, sf, "documents"), splitter=None, keys=["doc_id"])
-    return s.filter("text is not null").withColumn("sent_idx", F.col("sent_idx").cast("long"))
+    return sentences.sentences(read(spark, sf, "documents"), splitter=None, keys=["doc_id"])
 
 
-@query()
+_STOPS = "|".join(w.replace(".", "[.]") for w in sentences.ABBREVIATIONS["en"])
+
+
+@query(
+    f"""WITH {LINES}, c AS (SELECT doc_id, p, n, string_split(replace(regexp_replace(regexp_replace(line, '\\b({_STOPS})[.]', '\\1' || chr(1), 'g'), '([.!?])\\s+(\\p{{Lu}})', '\\1' || chr(2) || '\\2', 'g'), chr(1), '.'), chr(2)) AS s FROM l),
+  u AS (SELECT doc_id, p, n, unnest(s) AS line, generate_subscripts(s, 1) AS k FROM c),
+  f AS (SELECT doc_id, p, n, trim(line) AS text, row_number() OVER (PARTITION BY doc_id, p ORDER BY k) AS k, count(*) OVER (PARTITION BY doc_id, p) AS n_s, row_number() OVER (PARTITION BY doc_id ORDER BY p, k) - 1 AS sent_idx
+    FROM u WHERE NOT contains(line, chr(0)) AND {_NOISE} < length(line) // 2 AND trim(line) <> '')
+  SELECT d.doc_id, CAST(coalesce(sent_idx, 0) AS INTEGER) AS sent_idx, text, CASE WHEN text IS NOT NULL THEN 'p' || p || ':' || n || 's' || k || '/' || n_s END AS paragraph_id FROM (SELECT doc_id FROM documents) d LEFT JOIN f USING (doc_id)"""
+)
 def sentence_split(spark, sf):
     return sentences.sentences(read(spark, sf, "documents"), keys=["doc_id"])
 
@@ -455,11 +484,12 @@ def incremental_antijoin(spark, sf):
     return docjoin.not_seen(d, d.filter("doc_id % 3 = 0"), "text_hash").select("doc_id")
 
 
-_MATCH = "m AS (SELECT doc_id AS src_idx, doc_id + 1 AS trg_idx FROM documents WHERE doc_id % 10 = 0)"
+_MATCH = "m AS (SELECT doc_id AS src_idx, doc_id * 2 AS trg_idx FROM documents)"
 
 
 def _matches(spark, sf):
-    return read(spark, sf, "documents").filter("doc_id % 10 = 0").select(F.col("doc_id").alias("src_idx"), (F.col("doc_id") + 1).alias("trg_idx"))
+    """Each document with the one of twice its number, where there is one."""
+    return read(spark, sf, "documents").select(F.col("doc_id").alias("src_idx"), (F.col("doc_id") * 2).alias("trg_idx"))
 
 
 @query(f"WITH {_MATCH} SELECT src_idx, trg_idx, a.source AS src_source, b.source AS trg_source, a.text AS src_text, b.text AS trg_text FROM m JOIN documents a ON a.doc_id = src_idx JOIN documents b ON b.doc_id = trg_idx")
@@ -479,9 +509,9 @@ def distinct_docs(spark, sf):
     return corpora.documents_corpus(segments(spark, sf).withColumnRenamed("src_text", "src_doc").withColumnRenamed("trg_text", "trg_doc"))
 
 
-@query(f"WITH {_MATCH} SELECT doc_id AS doc_idx FROM documents WHERE doc_id NOT IN (SELECT src_idx FROM m)")
+@query(f"WITH {_MATCH} SELECT doc_id AS doc_idx FROM documents WHERE doc_id NOT IN (SELECT trg_idx FROM m)")
 def unpaired_documents(spark, sf):
-    return docjoin.unpaired(read(spark, sf, "documents").select(F.col("doc_id").alias("doc_idx")), _matches(spark, sf), "src")
+    return docjoin.unpaired(read(spark, sf, "documents").select(F.col("doc_id").alias("doc_idx")), _matches(spark, sf), "trg")
 
 
 @query("SELECT DISTINCT a.doc_id % 4 AS shard, a.doc_id % 3 AS src_batch, b.doc_id % 5 AS trg_batch FROM documents a JOIN (SELECT DISTINCT doc_id % 4 AS s, doc_id % 5 AS doc_id FROM documents WHERE lang = 'fr') b ON a.doc_id % 4 = b.s WHERE a.lang = 'en'")
@@ -503,10 +533,10 @@ def interleave_blocks(spark, sf):
     return docjoin.interleave(read(spark, sf, "documents").select(F.col("doc_id").alias("line_no"), F.col("lang").alias("line")), 4)
 
 
-@query(f"WITH {SEG} SELECT conv_id, turn, src_text || chr(9) || trg_text AS joined FROM seg WHERE NOT contains(src_text || trg_text, chr(10))")
+@query("SELECT doc_id, array_to_string(list_transform(range(1, len(l) + 1), lambda i: l[i] || chr(9) || l[i] || chr(9) || i || ':' || len(l)), chr(10)) AS joined FROM (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents)")
 def join_segments(spark, sf):
-    s = segments(spark, sf).filter(~F.concat("src_text", "trg_text").contains("\n"))
-    return s.select("conv_id", "turn", T.join_lines([F.col("src_text"), F.col("trg_text")]).alias("joined"))
+    """Each text line by line with its numbered self."""
+    return read(spark, sf, "documents").select("doc_id", T.join_lines([F.col("text"), T.number_paragraphs(F.col("text"))]).alias("joined"))
 
 
 @query(f"WITH {SEG} SELECT trg_url, src_url, trg_text, src_text FROM seg")
@@ -519,18 +549,21 @@ def cut_columns(spark, sf):
     return docjoin.cut_columns(segments(spark, sf), ["trg_text", "src_url", "trg_text"])
 
 
-@query(f"WITH {SEG} SELECT src_url, trg_url, src_text, trg_text FROM seg WHERE pair_score >= 0.5 UNION ALL SELECT src_url, trg_url, src_text, trg_text FROM seg WHERE pair_score < 0.1")
+@query(f"WITH {SEG} SELECT src_url, trg_url, src_text, trg_text FROM seg UNION ALL SELECT trg_url, src_url, trg_text, src_text FROM seg")
 def raw_corpus(spark, sf):
+    """All pairs, and all of them the other way round."""
     s = segments(spark, sf)
     names = ["src_url", "trg_url", "src_text", "trg_text"]
-    return corpora.raw_corpus([s.filter("pair_score >= 0.5").select(*names), s.filter("pair_score < 0.1").select(*names)])
+    turned = s.select(*[F.col(a).alias(b) for a, b in zip(["trg_url", "src_url", "trg_text", "src_text"], names)])
+    return corpora.raw_corpus([s.select(*names), turned])
 
 
-@query("SELECT doc_id FROM documents WHERE lang = 'en' ORDER BY doc_id LIMIT (SELECT least(count(*) FILTER (WHERE lang = 'en'), count(*) FILTER (WHERE lang = 'fr')) FROM documents)")
+@query("WITH r AS (SELECT doc_id, doc_id % 3 = 0 AS first, row_number() OVER (PARTITION BY doc_id % 3 = 0 ORDER BY doc_id) AS k FROM documents), n AS (SELECT least(count(*) FILTER (WHERE first), count(*) FILTER (WHERE NOT first)) AS n FROM r) SELECT doc_id, CASE WHEN first THEN 'a' ELSE 'b' END AS side FROM r, n WHERE k <= n")
 def head_of_both(spark, sf):
     """A limit is the feature here: as many rows of the longer side as the shorter has."""
-    d = read(spark, sf, "documents").select("doc_id", "lang")
-    return docjoin.head_of_both(d.filter("lang = 'en'"), d.filter("lang = 'fr'"), "doc_id")[0].select("doc_id")
+    d = read(spark, sf, "documents").select("doc_id")
+    a, b = docjoin.head_of_both(d.filter("doc_id % 3 = 0"), d.filter("doc_id % 3 <> 0"), "doc_id")
+    return a.withColumn("side", F.lit("a")).unionByName(b.withColumn("side", F.lit("b")))
 
 
 # --- cleaning -----------------------------------------------------------------
@@ -553,11 +586,20 @@ def score_threshold(spark, sf):
     return cleaning.score_at_least(segments(spark, sf), 0.5).select("conv_id", "turn", "pair_score")
 
 
-_HASH = "h AS (SELECT *, md5(regexp_replace(lower(src_text), '[^\\p{L}\\p{N}]', '', 'g') || chr(9) || regexp_replace(lower(trg_text), '[^\\p{L}\\p{N}]', '', 'g')) AS near_dup_hash FROM seg)"
+_HASH = """twice AS (SELECT * FROM seg UNION ALL SELECT conv_id, turn + 1000, 'http://e' || (conv_id % 7) AS src_url, trg_url, src_text || ' .', trg_text, aligner_score, CASE WHEN pair_score < 0.5 THEN pair_score + 0.5 ELSE pair_score - 0.5 END FROM seg),
+  h AS (SELECT *, md5(regexp_replace(lower(src_text), '[^\\p{L}\\p{N}]', '', 'g') || chr(9) || regexp_replace(lower(trg_text), '[^\\p{L}\\p{N}]', '', 'g')) AS near_dup_hash FROM twice)"""
 
 
-def _hashed(spark, sf):
+def _twice(spark, sf):
+    """All segments, and each again under another address, with a mark more and another score."""
     s = segments(spark, sf)
+    score = F.when(F.col("pair_score") < 0.5, F.col("pair_score") + 0.5).otherwise(F.col("pair_score") - 0.5)
+    again = s.withColumns({"turn": F.col("turn") + 1000, "src_url": F.concat(F.lit("http://e"), F.col("conv_id") % 7), "src_text": F.concat("src_text", F.lit(" .")), "pair_score": score})
+    return s.unionByName(again)
+
+
+def _hashed(spark, sf):
+    s = _twice(spark, sf)
     return s.withColumn("near_dup_hash", cleaning.near_duplicate_key(F.col("src_text"), F.col("trg_text"))).withColumn("repair_score", F.col("pair_score"))
 
 
@@ -565,11 +607,7 @@ def _hashed(spark, sf):
 def corpus_sort_rank(spark, sf):
     """Places in the sorted corpus: numbers within range partitions, shifted by the counts before them."""
     s = _hashed(spark, sf)
-    keys = [*cleaning.corpus_order(s), F.col("turn")]
-    parts = matching.cut_lineage(s.repartitionByRange(*keys).sortWithinPartitions(*keys).select("conv_id", "turn", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("m")))
-    first = parts.groupBy("part").agg(F.min("m").alias("first"), F.count(F.lit(1)).alias("n"))
-    before = first.alias("x").join(first.alias("y"), F.col("y.part") < F.col("x.part"), "left").groupBy("x.part", "x.first").agg(F.coalesce(F.sum("y.n"), F.lit(0)).alias("before"))
-    return parts.join(F.broadcast(before), "part").select("conv_id", "turn", (F.col("m") - F.col("first") + F.col("before") + 1).alias("place"))
+    return docjoin.numbered(s, [*cleaning.corpus_order(s), F.col("turn")], "place").select("conv_id", "turn", "place")
 
 
 @query(f"WITH {SEG}, {_HASH} SELECT near_dup_hash, count(*) AS n FROM h GROUP BY near_dup_hash HAVING count(*) > 1")
@@ -606,9 +644,18 @@ def tmx_notes(spark, sf):
     return cleaning.elrc_metrics(segments(spark, sf)).select("conv_id", "turn", cleaning.quality_notes().alias("notes"))
 
 
-@query()
+_XML = lambda c: f"replace(replace(replace({c}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+_PLACES = lambda u: f"array_to_string(list_transform({u}, lambda x: '    <prop type=\"source-document\">' || {_XML('x')} || '</prop>' || chr(10)), '')"
+_TUV = lambda lang, u, t: f"'   <tuv xml:lang=\"{lang}\">' || chr(10) || {_PLACES(u)} || '    <seg>' || {_XML(t)} || '</seg>' || chr(10) || '   </tuv>' || chr(10)"
+
+
+@query(
+    f"""WITH {SEG}, {_HASH}, g AS (SELECT src_text, trg_text, list_sort(list(DISTINCT src_url)) AS su, list_sort(list(DISTINCT trg_url)) AS tu FROM (SELECT rtrim(src_text, ' .') AS src_text, trg_text, src_url, trg_url FROM twice) GROUP BY ALL)
+  SELECT '  <tu>' || chr(10) || {_TUV('en', 'su', 'src_text')} || {_TUV('fr', 'tu', 'trg_text')} || '  </tu>' AS tu FROM g"""
+)
 def tmx_units(spark, sf):
-    g = cleaning.group_duplicates(segments(spark, sf), ["src_text", "trg_text"], {"src_urls": "src_url", "trg_urls": "trg_url"})
+    s = _twice(spark, sf).withColumn("src_text", F.rtrim("src_text", F.lit(" .")))
+    g = cleaning.group_duplicates(s, ["src_text", "trg_text"], {"src_urls": "src_url", "trg_urls": "trg_url"})
     return corpora.tmx_units(g, "en", "fr").select("tu")
 
 
@@ -631,9 +678,27 @@ def pair_scores(spark, sf):
     return cleaning.score_distinct(segments(spark, sf).drop("pair_score"), name="score").select("conv_id", "turn", "score")
 
 
-@query()
+def _repair_sql(c: str) -> str:
+    for bad, good in cleaning.MISREAD:
+        c = f"replace({c}, '{bad}', '{good}')"
+    c = f"replace(translate({c}, '‘’‚“”„–—', '\"\"\"--'), '…', '...')"
+    return f"trim(regexp_replace(regexp_replace({c}, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g'), '\\s+', ' ', 'g'))"
+
+
+def _letters_sql(c: str) -> str:
+    return f"coalesce(CAST(length(regexp_replace({c}, '[^\\p{{L}} ]', '', 'g')) AS DOUBLE) / nullif(length({c}), 0), 0.0)"
+
+
+@query(
+    f"""WITH {SEG}, {_HASH}, x AS (SELECT conv_id, turn, src_text || 'Ã©' || chr(8220) || chr(9) || 'a…' AS s, trg_text || ' â€™ ' || chr(8212) || 'Ã¼' AS t FROM seg)
+  SELECT conv_id, turn, {_repair_sql('s')} AS src_text, {_repair_sql('t')} AS trg_text, md5(regexp_replace(lower(s), '[^\\p{{L}}\\p{{N}}]', '', 'g') || chr(9) || regexp_replace(lower(t), '[^\\p{{L}}\\p{{N}}]', '', 'g')) AS near_dup_hash,
+    round(({_letters_sql('s')} + {_letters_sql('t')}) * 45 + (CASE WHEN regexp_matches(s, '[.!?]$') THEN 1.0 ELSE 0.0 END + CASE WHEN regexp_matches(t, '[.!?]$') THEN 1.0 ELSE 0.0 END) * 5, 4) AS repair_score FROM x"""
+)
 def repaired(spark, sf):
-    return cleaning.add_repair(segments(spark, sf)).select("conv_id", "turn", "src_text", "trg_text", "near_dup_hash", "repair_score")
+    """The segments have no damage, so each gets some."""
+    s = segments(spark, sf)
+    s = s.withColumn("src_text", F.concat("src_text", F.lit("Ã©\u201c\ta…"))).withColumn("trg_text", F.concat("trg_text", F.lit(" â€™ \u2014Ã¼")))
+    return cleaning.add_repair(s).select("conv_id", "turn", "src_text", "trg_text", "near_dup_hash", "repair_score")
 
 
 @query()
@@ -696,7 +761,7 @@ def embedding_topk(spark, sf):
 def streaming_new_texts(spark, sf):
     """The stream read to its end; its appended table is counted."""
     d = read(spark, sf, "documents").select("doc_id", "text")
-    table, base = (f"{matching._shared(spark)}/{x}-{id(d)}-{spark.sparkContext.startTime}" for x in ("new-texts", "new-texts-state"))
+    table, base = (f"{matching._shared(spark)}/{x}-{uuid.uuid4().hex}" for x in ("new-texts", "new-texts-state"))
     source = matching.cut_lineage(d.repartition(4))
     stream = spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 2).parquet(source.inputFiles()[0].rsplit("/", 1)[0])
     new = streaming.new_texts(stream)

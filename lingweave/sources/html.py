@@ -81,7 +81,7 @@ def decode_bytes(data: Column, declared: Column | None = None) -> Column:
                 try:
                     if e:
                         return bytes(b).decode(e)
-                except (UnicodeDecodeError, LookupError):
+                except (UnicodeError, LookupError, ValueError):  # 'undefined' and 'idna' are names too
                     continue
             return None
 
