@@ -681,7 +681,8 @@ def pair_scores(spark, sf):
 def _repair_sql(c: str) -> str:
     for bad, good in cleaning.MISREAD:
         c = f"replace({c}, '{bad}', '{good}')"
-    c = f"replace(translate({c}, '‘’‚“”„–—', '\"\"\"--'), '…', '...')"
+    quotes = "''" * 3 + '"' * 3 + "--"
+    c = f"replace(translate({c}, '‘’‚“”„–—', '{quotes}'), '…', '...')"
     return f"trim(regexp_replace(regexp_replace({c}, '[\\x00-\\x08\\x0b\\x0c\\x0e-\\x1f]', '', 'g'), '\\s+', ' ', 'g'))"
 
 
@@ -690,9 +691,10 @@ def _letters_sql(c: str) -> str:
 
 
 @query(
-    f"""WITH {SEG}, {_HASH}, x AS (SELECT conv_id, turn, src_text || 'Ã©' || chr(8220) || chr(9) || 'a…' AS s, trg_text || ' â€™ ' || chr(8212) || 'Ã¼' AS t FROM seg)
-  SELECT conv_id, turn, {_repair_sql('s')} AS src_text, {_repair_sql('t')} AS trg_text, md5(regexp_replace(lower(s), '[^\\p{{L}}\\p{{N}}]', '', 'g') || chr(9) || regexp_replace(lower(t), '[^\\p{{L}}\\p{{N}}]', '', 'g')) AS near_dup_hash,
-    round(({_letters_sql('s')} + {_letters_sql('t')}) * 45 + (CASE WHEN regexp_matches(s, '[.!?]$') THEN 1.0 ELSE 0.0 END + CASE WHEN regexp_matches(t, '[.!?]$') THEN 1.0 ELSE 0.0 END) * 5, 4) AS repair_score FROM x"""
+    f"""WITH {SEG}, {_HASH}, x AS (SELECT conv_id, turn, src_text || 'Ã©' || chr(8220) || chr(9) || 'a…' AS s, trg_text || ' â€™ ' || chr(8212) || 'Ã¼' AS t FROM seg),
+  r AS (SELECT conv_id, turn, {_repair_sql('s')} AS s, {_repair_sql('t')} AS t FROM x)
+  SELECT conv_id, turn, s AS src_text, t AS trg_text, md5(regexp_replace(lower(s), '[^\\p{{L}}\\p{{N}}]', '', 'g') || chr(9) || regexp_replace(lower(t), '[^\\p{{L}}\\p{{N}}]', '', 'g')) AS near_dup_hash,
+    round(({_letters_sql('s')} + {_letters_sql('t')}) * 45 + (CASE WHEN regexp_matches(s, '[.!?]$') THEN 1.0 ELSE 0.0 END + CASE WHEN regexp_matches(t, '[.!?]$') THEN 1.0 ELSE 0.0 END) * 5, 4) AS repair_score FROM r"""
 )
 def repaired(spark, sf):
     """The segments have no damage, so each gets some."""
