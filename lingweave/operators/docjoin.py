@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from .matching import cut_lineage
 
 
-def join_documents(matches: DataFrame, src: DataFrame, trg: DataFrame, columns: list[str], id_col: str = "doc_idx") -> DataFrame:
+def join_documents(matches: DataFrame, src: DataFrame, trg: DataFrame, columns: list[str], id_col: str = "doc_idx", in_target_order: bool = False) -> DataFrame:
     """src_idx, trg_idx and both sides' ``columns`` as src_x, trg_x. The matches, narrow and at
-    most one a document, meet the wide sides one after the other."""
+    most one a document, meet the wide sides one after the other. ``in_target_order`` sorts by the target's index."""
     side = lambda d, p: d.select(F.col(id_col).alias(f"{p}_idx"), *[F.col(c).alias(f"{p}_{c}") for c in columns])
-    return matches.join(side(src, "src"), "src_idx").join(side(trg, "trg"), "trg_idx")
+    both = matches.join(side(src, "src"), "src_idx").join(side(trg, "trg"), "trg_idx")
+    return both.orderBy("trg_idx", "src_idx") if in_target_order else both
 
 
 def missing_rows(matches: DataFrame, src: DataFrame, trg: DataFrame, id_col: str = "doc_idx") -> DataFrame:

@@ -32,23 +32,52 @@ def split_line(line: Column, lang: str = "en", breaks: list[str] | None = None)
 
 
 def sentences(
-    docs: DataFrame, splitter: Callable[[Column], Column] | None = split_line, prune: int = 0, prune_by: str = "words", drop_noise: bool = True, keys: list[str] | None = None
+    docs: DataFrame, splitter: Callable[[Column], Column] | None = split_line, prune: int = 0, prune_by: str = "words", drop_noise: bool = True, keys: list[str] | None = None, metadata: list[str] | None = None
 ) -> DataFrame:
-    """keys..., sent_idx, text, paragraph_id. Each line is a paragraph; sentences are pruned, filtered,
+    """keys..., sent_idx, text, paragraph_id and ``metadata``: columns of texts with a line for each line of
+    ``text``, of which every sentence gets its paragraph's (null where there are fewer). Each line is a paragraph; sentences are pruned, filtered,
     stripped and emptied in that order. A document without any keeps one row with a null sentence."""
     keys = keys or ["doc_idx"]
     ok = lambda s: within(s, prune, prune_by) & (~is_noise(s) if drop_noise else F.lit(True)) & (F.btrim(s) != "")
     kept = lambda line: F.transform(F.filter(splitter(line) if splitter else F.array(line), ok), lambda s: F.btrim(s))
+    metadata = metadata or []
+    more = [F.split(m, "\n").alias(f"__{m}") for m in metadata]
     try:  # numbered within the row, so that nothing is shuffled
-        by_line = docs.select(*keys, F.transform(F.split("text", "\n"), kept).alias("l"))
+        by_line = docs.select(*keys, *more, F.transform(F.split("text", "\n"), kept).alias("l"))
     except AnalysisException:  # a splitter in Python takes a column, not a lambda's variable
-        lines = docs.select(*keys, F.posexplode_outer(F.split("text", "\n")).alias("p", "line"))
-        grouped = lines.select(*keys, "p", kept(F.col("line")).alias("s")).groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("p", "s"))).alias("l"))
-        by_line = grouped.select(*keys, F.transform("l", lambda x: x["s"]).alias("l"))
+        lines = docs.select(*keys, *more, F.posexplode_outer(F.split("text", "\n")).alias("p", "line"))
+        first = [F.first(f"__{m}").alias(f"__{m}") for m in metadata]
+        grouped = lines.select(*keys, *[f"__{m}" for m in metadata], "p", kept(F.col("line")).alias("s")).groupBy(*keys).agg(*first, F.array_sort(F.collect_list(F.struct("p", "s"))).alias("l"))
+        by_line = grouped.select(*keys, *[f"__{m}" for m in metadata], F.transform("l", lambda x: x["s"]).alias("l"))
     tag = lambda p, n_p, k, n_s: F.concat(F.lit("p"), (p + 1).cast("string"), F.lit(":"), n_p.cast("string"), F.lit("s"), (k + 1).cast("string"), F.lit("/"), n_s.cast("string"))
-    numbered = F.transform("l", lambda s, p: F.transform(s, lambda x, k: F.struct(x.alias("text"), tag(p, F.size("l"), k, F.size(s)).alias("paragraph_id"))))
+    numbered = F.transform("l", lambda s, p: F.transform(s, lambda x, k: F.struct(x.alias("text"), tag(p, F.size("l"), k, F.size(s)).alias("paragraph_id"), *[F.get(f"__{m}", p).alias(m) for m in metadata])))
     rows = by_line.select(*keys, F.posexplode_outer(F.flatten(numbered)).alias("sent_idx", "s"))
-    return rows.select(*keys, F.coalesce("sent_idx", F.lit(0)).alias("sent_idx"), "s.text", "s.paragraph_id")
+    return rows.select(*keys, F.coalesce("sent_idx", F.lit(0)).alias("sent_idx"), "s.text", "s.paragraph_id", *[f"s.{m}" for m in metadata])
+
+
+def pipe(docs: DataFrame, command: list[str], column: str = "text", line_by_line: bool = True) -> DataFrame:
+    """``docs`` with ``column`` passed through a command's standard input and output, a process an Arrow batch.
+    With ``line_by_line`` the lines of all documents of a batch go through it and must come back as many;
+    else a process gets each document whole. Null texts stay null; a command that fails is an error."""
+
+    def once(data: str) -> str:
+        import subprocess
+
+        return subprocess.run(command, input=data.encode("utf-8", "replace"), stdout=subprocess.PIPE, check=True).stdout.decode("utf-8", "replace")
+
+    @F.pandas_udf("string")
+    def run(texts: pd.Series) -> pd.Series:
+        if not line_by_line:
+            return texts.map(lambda t: None if t is None else once(t))
+        parts = [None if t is None else t.split("\n") for t in texts]
+        lines = [x for p in parts if p is not None for x in p]
+        back = once("".join(x + "\n" for x in lines)).split("\n")[:-1] if lines else []
+        if len(back) != len(lines):
+            raise ValueError(f"{command[0]} made {len(back)} lines of {len(lines)}")
+        it = iter(back)
+        return pd.Series([None if p is None else "\n".join(next(it) for _ in p) for p in parts], dtype=object)
+
+    return docs.withColumn(column, run(column))
 
 
 def tokenise(lines: DataFrame, column: str = "text") -> DataFrame:
@@ -169,11 +198,17 @@ def vector_rungs(src: np.ndarray, trg: np.ndarray, gap: float = 0.3) -> list[tup
 SEGMENTS = "src_text string, trg_text string, aligner_score double, src_sentences array<int>, trg_sentences array<int>"
 
 
-def align(pairs: DataFrame, method: str = "length", threshold: float = 0.0, lexicon: dict[str, set[str]] | None = None, keys: list[str] | None = None) -> DataFrame:
-    """keys..., SEGMENTS: sentence pairs of document pairs. ``pairs``: keys..., src_sents,
+def align(pairs: DataFrame, method: str = "length", threshold: float = 0.0, lexicon: dict[str, set[str]] | None = None, keys: list[str] | None = None, metadata: list[str] | None = None) -> DataFrame:
+    """keys..., SEGMENTS and src_x, trg_x for each x of ``metadata``, arrays src_x, trg_x of ``pairs`` with a value a sentence,
+    joined with ``+`` where sentences merge: sentence pairs of document pairs. ``pairs``: keys..., src_sents,
     trg_sents (arrays), for 'bleu' translated_sents, for 'vector' src_vecs, trg_vecs. Pairs are independent rows in Arrow
     batches, so a task's memory is one batch."""
     keys = keys or ["src_url", "trg_url"]
+    names = [f"{side}_{m}" for m in metadata or [] for side in ("src", "trg")]
+
+    def more(r: dict, i: int, di: int, j: int, dj: int) -> list[str]:
+        at = lambda n: slice(i, i + di) if n.startswith("src_") else slice(j, j + dj)
+        return ["+".join("" if x is None else str(x) for x in list(r[n])[at(n)]) for n in names]
 
     def run(it):
         for pdf in it:
@@ -188,11 +223,11 @@ def align(pairs: DataFrame, method: str = "length", threshold: float = 0.0, lexi
                     beads = length_rungs(s, t, lexicon)
                 for i, j, di, dj, x in beads:
                     if di and dj and x >= threshold:
-                        rows.append((*(r[k] for k in keys), " ".join(s[i : i + di]), " ".join(t[j : j + dj]), x, list(range(i, i + di)), list(range(j, j + dj))))
-            yield pd.DataFrame(rows, columns=[*keys, "src_text", "trg_text", "aligner_score", "src_sentences", "trg_sentences"])
+                        rows.append((*(r[k] for k in keys), " ".join(s[i : i + di]), " ".join(t[j : j + dj]), x, list(range(i, i + di)), list(range(j, j + dj)), *more(r, i, di, j, dj)))
+            yield pd.DataFrame(rows, columns=[*keys, "src_text", "trg_text", "aligner_score", "src_sentences", "trg_sentences", *names])
 
     kinds = dict(pairs.dtypes)
-    return pairs.mapInPandas(run, ", ".join([f"{k} {kinds[k]}" for k in keys] + [SEGMENTS]))
+    return pairs.mapInPandas(run, ", ".join([f"{k} {kinds[k]}" for k in keys] + [SEGMENTS] + [f"{n} string" for n in names]))
 
 
 def decode_rungs(rungs: DataFrame, keys: list[str] | None = None) -> DataFrame:

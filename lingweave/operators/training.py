@@ -35,7 +35,7 @@ def importances(model) -> dict[str, float]:
 
 
 def rank(candidates: DataFrame, model=None, threshold: float = 0.0) -> DataFrame:
-    """src_idx, trg_idx, rank_score at or over the threshold, best first within a source."""
+    """src_idx, trg_idx, rank_score at or over the threshold, in no order: sort at the sink."""
     if model is None:
         scored = candidates.withColumn("rank_score", linear_rank())
     else:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..operators import cleaning, docjoin, features, lexicon, matching, sentences, tfidf, training
+from ..operators import cleaning, docjoin, embeddings, features, lexicon, matching, sentences, tfidf, training
 from ..sources import html
 from .config import UNTIL, Config
 
@@ -28,13 +28,16 @@ def run(
     scorer: Callable[[Column, Column], Column] = cleaning.pair_score,
     dictionary: DataFrame | None = None,
     seen: DataFrame | None = None,
+    encoder: Callable[[Column], Column] | None = None,
+    detect: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """``pages``: page_id, url, html. ``translate``, ``splitters`` (by language or 'default') and ``scorer``
-    are Column functions: built-in expressions or pandas UDFs. ``dictionary``: src_word, trg_word."""
+    are Column functions: built-in expressions or pandas UDFs. ``dictionary``: src_word, trg_word. ``encoder`` maps an array of sentences
+    to an array of their vectors, for the vector aligners (both languages in one space); ``detect`` a text to its language."""
     c = config
     one, two = (c.lang2, c.lang1) if c.swapped else (c.lang1, c.lang2)
     by_lexicon = c.document_aligner == "lexicon" and UNTIL.index(c.until) >= UNTIL.index("docalign")
-    docs = html.preprocess(pages, c.languages or [c.lang1, c.lang2], c.boilerplate_cleaning, seen, keep_html=by_lexicon)
+    docs = html.preprocess(pages, c.languages or [c.lang1, c.lang2], c.boilerplate_cleaning, seen, keep_html=by_lexicon, detect=detect)
     if c.until in ("crawl", "preprocess"):
         return docs
     docs = shard(docs, c.shards).withColumnRenamed("page_id", "doc_idx")
@@ -64,13 +67,17 @@ def run(
     elif c.document_aligner == "lexicon":
         matches = _by_lexicon(docs, both, dictionary, c)
     else:
-        raise NotImplementedError("vectors come from outside: see operators.embeddings")
+        if encoder is None:
+            raise ValueError("the vector aligner needs an encoder")
+        both = matching.cut_lineage(both.withColumn("vecs", encoder(F.col("sents"))))
+        matches = _by_vectors(both, scope, c)
     matches = matches.select("src_idx", "trg_idx", "score")
     if c.until == "docalign":
         return matches
     url = docs.select("doc_idx", "url")
-    full = lambda side: both.filter(F.col("side") == side).join(url, "doc_idx").select("doc_idx", "url", "sents", "translated")
-    joined = docjoin.join_documents(matches, full("src"), full("trg"), ["url", "sents", "translated"]).withColumnRenamed("src_translated", "translated_sents").drop("trg_translated")
+    vecs = ["vecs"] if "vecs" in both.columns else []
+    full = lambda side: both.filter(F.col("side") == side).join(url, "doc_idx").select("doc_idx", "url", "sents", "translated", *vecs)
+    joined = docjoin.join_documents(matches, full("src"), full("trg"), ["url", "sents", "translated", *vecs]).withColumnRenamed("src_translated", "translated_sents").drop("trg_translated")
     out = sentences.align(joined.drop("score"), c.segment_aligner, c.seg_threshold, keys=["src_url", "trg_url"])
     if c.until == "segalign":
         return out
@@ -90,6 +97,15 @@ def run(
     return cleaning.sort_corpus(out)
 
 
+def _by_vectors(both: DataFrame, scope: list[str], c: Config) -> DataFrame:
+    """The mean of a document's sentence vectors against the other side's, within the scope; one to one."""
+    rows = both.select(*scope, "side", "doc_idx", F.explode("vecs").alias("vector"))
+    docs = matching.cut_lineage(embeddings.mean_pool(rows, [*scope, "side", "doc_idx"]))
+    side = lambda x: docs.filter(F.col("side") == x).select(F.concat_ws("/", *scope).alias("part"), F.col("doc_idx").alias(f"{x}_idx"), "vector")
+    best = embeddings.best_in_shard(side("src"), side("trg"), c.candidates, "part").filter(F.col("score") >= c.doc_threshold)
+    return matching.greedy_match(best, ["part"])
+
+
 def _by_lexicon(docs: DataFrame, both: DataFrame, dictionary: DataFrame | None, c: Config) -> DataFrame:
     words = both.select(F.when(F.col("side") == "src", "l1").otherwise("l2").alias("lang"), "doc_idx", "text")
     index = matching.cut_lineage(lexicon.word_index(words, c.max_word_occurrences))

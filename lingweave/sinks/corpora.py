@@ -35,7 +35,7 @@ def documents_corpus(pairs: DataFrame) -> DataFrame:
 
 
 def write_encoded(docs: DataFrame, path: str, columns: list[str]) -> None:
-    """A document a line, base64, one folder a column; one order for all columns."""
+    """A document a line, a base64 cell a column."""
     ordered = docs.select(*[T.encode64(F.col(c)).alias(c) for c in columns])
     ordered.write.option("sep", "\t").option("quote", "").option("compression", "gzip").csv(path)
 

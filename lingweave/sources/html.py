@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -121,6 +122,28 @@ def page_language(html: Column) -> Column:
     return F.lower(F.regexp_extract(html, r"(?i)<html[^>]*\blang\s*=\s*[\"']?([a-zA-Z]{2,3})", 1))
 
 
+#: Frequent short words by language, for :func:`guess_language`.
+COMMON_WORDS = {
+    "de": "der die das und ist nicht ein eine zu den von mit auf für sich dem auch als",
+    "en": "the and of to in is that it was for on with as be this are by not",
+    "es": "el los las que y en un una por con para no se del es lo como más",
+    "fr": "le les des et est un une que dans pour pas sur qui au avec ce il du",
+    "it": "il che di e la un una per non sono con del della gli nel anche come si",
+    "nl": "de het een van en in is dat op te zijn met voor niet aan er ook maar",
+    "pt": "o os as que e em um uma para com não se do da por mais dos ao",
+}
+
+
+def guess_language(text: Column) -> Column:
+    """Native default of a detector: the language most of whose frequent words the text uses; of equal
+    ones the first by name; null where it uses none. Any Column function of the text takes its place."""
+    frequent = F.array(*[F.struct(F.lit(-i).alias("i"), F.lit(lang).alias("lang"), F.split(F.lit(w), " ").alias("w")) for i, (lang, w) in enumerate(COMMON_WORDS.items())])
+    # the text's words as a lambda's variable are split once
+    score = lambda words: F.array_max(F.transform(frequent, lambda f: F.struct(F.size(F.array_intersect(words, f["w"])).alias("n"), f["i"].alias("i"), f["lang"].alias("lang"))))
+    best = F.get(F.transform(F.array(F.array_distinct(T.words(F.lower(text)))), score), F.lit(0))
+    return F.get(F.transform(F.filter(F.array(best), lambda x: x["n"] > 0), lambda x: x["lang"]), F.lit(0))
+
+
 def wanted_languages(lang: Column, include: list[str] | None = None) -> Column:
     """By a list of codes; ``%``-prefixed ones are banned; 'un' never passes."""
     include = include or []
@@ -131,13 +154,15 @@ def wanted_languages(lang: Column, include: list[str] | None = None) -> Column:
     return ok & ~lang.isin(banned) if banned else ok
 
 
-def preprocess(pages: DataFrame, include: list[str] | None = None, deboilerplate: bool = False, seen: DataFrame | None = None, keep_html: bool = False) -> DataFrame:
-    """url, lang, text, text_hash: filters, normalises, extracts and keeps the first page of each text.
+def preprocess(pages: DataFrame, include: list[str] | None = None, deboilerplate: bool = False, seen: DataFrame | None = None, keep_html: bool = False, detect: Callable[[Column], Column] | None = None) -> DataFrame:
+    """url, lang, text, text_hash: filters, normalises, extracts and keeps the first page of each text. ``detect``
+    tells a text's language; without it the page's own claim does, and :func:`guess_language` where it has none.
     ``seen`` (text_hash) are texts of a former crawl. With ``keep_html`` also html, as given."""
     html = T.normalise_markup(F.col("html"))
     out = pages.where(may_hold_text(F.col("url"))).select("page_id", "url", html.alias("html"), *[F.col("html").alias("raw")] * keep_html)
-    out = out.withColumn("lang", page_language(F.col("html"))).where(wanted_languages(F.col("lang"), include))
     out = out.withColumn("text", plain_text(F.col("html")) if deboilerplate else html_to_text(F.col("html"))).where("text <> ''")
+    claimed = F.nullif(page_language(F.col("html")), F.lit(""))
+    out = out.withColumn("lang", detect(F.col("text")) if detect else F.coalesce(claimed, guess_language(F.col("text")))).where(wanted_languages(F.col("lang"), include))
     out = out.withColumn("text_hash", F.xxhash64("text"))
     if seen is not None:
         out = out.join(seen.select("text_hash"), "text_hash", "left_anti")

@@ -10,11 +10,13 @@ from ..functions import text as T
 
 
 def new_texts(stream: DataFrame, watermark: str | None = None, time_col: str | None = None) -> DataFrame:
-    """The stream with normalised text, each text once: for ever, or within the watermark."""
-    out = stream.withColumn("text", T.normalise_space(F.col("text"))).withColumn("text_hash", F.xxhash64("text"))
+    """The stream with normalised text, each text once: for ever, or within the watermark. The state holds
+    SHA-256 digests, not texts, and lies in RocksDB on disk, which the session is set to."""
+    stream.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    out = stream.withColumn("text", T.normalise_space(F.col("text"))).withColumn("text_hash", F.xxhash64("text")).withColumn("__digest", F.sha2("text", 256))
     if watermark and time_col:
-        return out.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark(["text_hash", "text"])
-    return out.dropDuplicates(["text_hash", "text"])
+        return out.withWatermark(time_col, watermark).dropDuplicatesWithinWatermark(["__digest"]).drop("__digest")
+    return out.dropDuplicates(["__digest"]).drop("__digest")
 
 
 def read_documents(spark: SparkSession, path: str, schema: str, files_per_batch: int = 100) -> DataFrame:
