@@ -13,10 +13,28 @@ from pyspark.sql import functions as F
 ONE_TASK_EDGES = 1_000_000
 
 
+#: Paths of steps written by this driver, until :func:`drop_steps`.
+_STEPS: list[str] = []
+
+
+def remember(path: str) -> str:
+    _STEPS.append(path)
+    return path
+
+
+def drop_steps(spark: SparkSession) -> None:
+    """Delete the steps that were written to the shared folder so far. For after a result that
+    reads them was written: results are lazy, so nothing else can tell when they are used up."""
+    jvm = spark.sparkContext._jvm
+    while _STEPS:
+        p = jvm.org.apache.hadoop.fs.Path(_STEPS.pop())
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write to the shared folder and read back; ``spark.checkpoint.dir`` names it."""
     spark = df.sparkSession
-    path = f"{_shared(spark)}/step-{uuid.uuid4().hex}"
+    path = remember(f"{_shared(spark)}/step-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
