@@ -9,6 +9,8 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.matching import remember
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
@@ -29,8 +31,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder; ``operators.matching.drop_steps`` deletes it with the others."""
+    return remember(f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}")
 
 
 def spool(df: DataFrame, name: str) -> DataFrame:
