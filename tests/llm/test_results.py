@@ -11,6 +11,7 @@ import zlib
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lingweave.llm import components, decontaminate, html_extract, langid, lm_score, packing, simhash, suffix_dedup, warc_derivatives
@@ -91,6 +92,15 @@ def near_components(texts):
     return {k: root(k) for k in prints}
 
 
+@pytest.mark.parametrize("hot", [2000, 1])
+@pytest.mark.parametrize(("distance", "parts"), [(2, 2), (8, 3)])
+def test_fingerprints_are_not_broadcast(spark, distance, parts, hot):
+    """Each row of the search stands for many, which Spark's estimate of its size leaves out."""
+    classes = simhash._classes(spark.range(50).select(F.expr("id div 2").alias("fp"), F.col("id").alias("doc_id")), ["fp"], F.col("doc_id"))
+    plan = simhash.near_links(classes, distance, hot, parts)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and not re.search(r"(Broadcast\w+|ShuffledHash)Join.* Inner", plan)
+
+
 def test_near_copies(docs, texts):
     got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(docs).collect()}
     assert got == near_components(texts)
