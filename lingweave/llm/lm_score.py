@@ -19,6 +19,7 @@ from __future__ import annotations
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -39,6 +40,8 @@ COMBINE = 250_000
 SHARD_BYTES = 32 << 20
 #: Bytes of model that are broadcast; a worker keeps one copy, the driver two for a while.
 BROADCAST_BYTES = 256 << 20
+#: Requests of a shard that are answered at a time.
+TOGETHER = 64
 #: Documents, about, on which the weight is chosen.
 TUNING_DOCS = 2000
 WEIGHTS = (1.0, 3.0, 10.0, 30.0, 100.0, 300.0, 1000.0, 3000.0)
@@ -194,10 +197,15 @@ def levels_of(counts: np.ndarray, base: float) -> np.ndarray:
     return 1 + np.floor(np.log(counts) / np.log(base) + 1e-9).astype(np.int64)
 
 
-def _bit(keys: np.ndarray, level: int, probe: int, bits: int) -> np.ndarray:
+def _hashes(keys: np.ndarray, level: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where the probes of a level begin, and their steps."""
     x = _mix(keys + np.uint64((level * 0xD1342543DE82EF95 + 1) % 2**64))
-    step = (x >> np.uint64(32)) | np.uint64(1)
-    return ((x & np.uint64(0xFFFFFFFF)) + np.uint64(probe) * step) % np.uint64(bits)
+    return x & np.uint64(0xFFFFFFFF), (x >> np.uint64(32)) | np.uint64(1)
+
+
+def _bit(x: np.ndarray, bits: int | np.ndarray) -> np.ndarray:
+    """The low 32 bits of ``x`` brought into the range of ``bits``."""
+    return ((x & np.uint64(0xFFFFFFFF)) * np.asarray(bits, np.uint64)) >> np.uint64(32)
 
 
 def bloom(keys: np.ndarray, counts: np.ndarray, o: Options) -> np.ndarray:
@@ -207,20 +215,35 @@ def bloom(keys: np.ndarray, counts: np.ndarray, o: Options) -> np.ndarray:
     on = np.zeros(size * 8, bool)
     for level in range(1, int(levels.max(initial=0)) + 1):
         keys, levels = keys[levels >= level], levels[levels >= level]
-        for probe in range(o.probes):
-            on[_bit(keys, level, probe, size * 8)] = True
+        x, step = _hashes(keys, level)
+        for _ in range(o.probes):
+            on[_bit(x, size * 8)] = True
+            x += step
     return np.packbits(on, bitorder="little")
 
 
-def bloom_levels(keys: np.ndarray, data: np.ndarray, o: Options) -> np.ndarray:
-    """The level of each key: how many levels in a row the filter holds."""
+def bloom_levels(keys: np.ndarray, data: np.ndarray, o: Options, starts: np.ndarray | None = None) -> np.ndarray:
+    """The level of each key: how many levels in a row the filter holds. ``starts``: where the filter
+    of each shard begins in ``data``, and the end; all shards are probed at once. Without it
+    ``data`` is one filter."""
     out = np.zeros(len(keys), np.int64)
+    starts = np.array([0, len(data)]) if starts is None else starts
+    wide = (len(starts) - 2).bit_length()
+    shard = (keys >> np.uint64(64 - wide)).astype(np.int64) if wide else np.zeros(len(keys), np.int64)
+    bits, base = (8 * np.diff(starts)).astype(np.uint64)[shard], starts.astype(np.uint64)[shard]
     left, level = np.arange(len(keys)), 1
+    hit = bits > 0  # a shard may have no filter
     while len(left):
-        for probe in range(o.probes):
-            at = _bit(keys[left], level, probe, len(data) * 8)
-            left = left[(data[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
+        left, keys, bits, base = (v[hit] for v in (left, keys, bits, base))
+        x, step = _hashes(keys, level)
+        for _ in range(o.probes):
+            at = _bit(x, bits)
+            hit = (data[base + (at >> np.uint64(3))] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            if not hit.all():
+                left, keys, bits, base, x, step = (v[hit] for v in (left, keys, bits, base, x, step))
+            x += step
         out[left] = level
+        hit = slice(None)
         level += 1
     return out
 
@@ -313,24 +336,21 @@ def score(docs: DataFrame, prepared: Model, o: Options, make: Callable = _scores
         return _routed(texts, prepared.parts, o, m, make, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, counts, filters = model.value
-        known, counts = np.frombuffer(known, "<u8"), np.frombuffer(counts, "<u8")
+        known, counts, filters, starts = model.value
+        known, counts, filters = np.frombuffer(known, "<u8"), np.frombuffer(counts, "<u8"), np.frombuffer(filters, np.uint8)
         for ids, block in _blocks(batches):
             h, sizes = hashed(block)
             unique, place = np.unique(h, return_inverse=True)
             c = word_counts(unique, known, counts)[place]
             unique, place = np.unique(bigram_keys(h, _with_previous(h, sizes)), return_inverse=True)
-            level = np.zeros(len(unique), np.int64)
-            for i, s in enumerate(_by_shard(unique, o.shards)):
-                if s.stop > s.start and i in filters:
-                    level[s] = bloom_levels(unique[s], np.frombuffer(filters[i], np.uint8), o)
-            yield make(ids, sizes, c, level[place], m, o)
+            yield make(ids, sizes, c, bloom_levels(unique, filters, o, starts)[place], m, o)
 
     return texts.mapInArrow(run, schema)
 
 
-def _collected(parts: DataFrame, o: Options) -> tuple[bytes, bytes, dict[int, bytes]]:
-    """The model of checked size at the driver: all word hashes in order, their counts, the filters."""
+def _collected(parts: DataFrame, o: Options) -> tuple[bytes, bytes, bytes, np.ndarray]:
+    """The model of checked size at the driver: all word hashes in order, their counts, the filters
+    one behind another, and where each begins."""
     keys, counts, filters = {}, {}, {}
     for r in parts.toLocalIterator():
         if r["kind"] == WORDS:
@@ -338,7 +358,8 @@ def _collected(parts: DataFrame, o: Options) -> tuple[bytes, bytes, dict[int, by
             counts[r["shard"]] = bytes(r["counts"])
         else:
             filters[r["shard"]] = bytes(r["keys"])
-    return b"".join(keys[i] for i in sorted(keys)), b"".join(counts[i] for i in sorted(keys)), filters
+    starts = np.cumsum([0, *(len(filters.get(i, b"")) for i in range(o.shards))])
+    return b"".join(keys[i] for i in sorted(keys)), b"".join(counts[i] for i in sorted(keys)), b"".join(filters[i] for i in sorted(filters)), starts
 
 
 ROUTE = "kind int, shard int, request long, at binary, keys binary, counts binary"
@@ -356,47 +377,51 @@ def _routed(texts: DataFrame, parts: DataFrame, o: Options, m: dict, make: Calla
             h, sizes = hashed(block)
             rows = [(-1, -1, number, np.array([-1 if k is None else k for k in ids], "<i8").tobytes(), sizes.astype("<i8").tobytes(), np.array([k is None for k in ids], "u1").tobytes())]
             for kind, keys in ((WORDS, h), (BIGRAMS, bigram_keys(h, _with_previous(h, sizes)))):
-                order = np.argsort(keys, kind="stable")
-                keys = keys[order]
-                rows += [(kind, i, number, order[s].astype("<i4").tobytes(), keys[s].tobytes(), b"") for i, s in enumerate(_by_shard(keys, o.shards)) if s.stop > s.start]
+                keys, place = np.unique(keys, return_inverse=True)
+                rows.append((-1, kind, number, b"", place.astype("<i4").tobytes(), b""))
+                rows += [(kind, i, number, np.array([s.start], "<i8").tobytes(), keys[s].tobytes(), b"") for i, s in enumerate(_by_shard(keys, o.shards)) if s.stop > s.start]
             number += 1
             yield _routes(rows)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, part = None, None
         for b in batches:
-            rows = []
-            for r in b.to_pylist():
-                if r["request"] is None:
-                    here, part = (r["kind"], r["shard"]), r
-                    continue
-                keys = np.frombuffer(r["keys"], "<u8")
-                if here != (r["kind"], r["shard"]):
-                    found = np.zeros(len(keys), np.int64)
-                elif r["kind"] == WORDS:
-                    found = word_counts(keys, np.frombuffer(part["keys"], "<u8"), np.frombuffer(part["counts"], "<u8"))
-                else:
-                    found = bloom_levels(keys, np.frombuffer(part["keys"], np.uint8), o)
-                rows.append((r["kind"], r["shard"], r["request"], r["at"], found.astype("<i8").tobytes(), b""))
-            if rows:
-                yield _routes(rows)
+            for (kind, shard), same in groupby(b.to_pylist(), lambda r: (r["kind"], r["shard"])):
+                asked = list(same)
+                if asked[0]["request"] is None:
+                    here, part = (kind, shard), asked.pop(0)
+                while asked:
+                    some, asked = asked[:TOGETHER], asked[TOGETHER:]
+                    keys = np.frombuffer(b"".join(r["keys"] for r in some), "<u8")
+                    if here != (kind, shard):
+                        found = np.zeros(len(keys), np.int64)
+                    elif kind == WORDS:
+                        found = word_counts(keys, np.frombuffer(part["keys"], "<u8"), np.frombuffer(part["counts"], "<u8"))
+                    else:
+                        found = bloom_levels(keys, np.frombuffer(part["keys"], np.uint8), o)
+                    ends = np.cumsum([len(r["keys"]) // 8 for r in some])[:-1]
+                    yield _routes([(kind, shard, r["request"], r["at"], x.astype("<i8").tobytes(), b"") for r, x in zip(some, np.split(found, ends))])
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head, values = None, {}
+        head, places, values = None, {}, {}
 
         def done() -> pa.RecordBatch:
             ids, none = np.frombuffer(head["at"], "<i8").tolist(), np.frombuffer(head["counts"], "u1").tolist()
-            return make([None if x else k for k, x in zip(ids, none)], np.frombuffer(head["keys"], "<i8"), values[WORDS], values[BIGRAMS], m, o)
+            c, level = (values[k][places[k]] for k in (WORDS, BIGRAMS))
+            return make([None if x else k for k, x in zip(ids, none)], np.frombuffer(head["keys"], "<i8"), c, level, m, o)
 
         for b in batches:
             for r in b.to_pylist():
-                if r["kind"] == -1:
+                if r["kind"] == -1 and r["shard"] == -1:
                     if head:
                         yield done()
-                    head, n = r, int(np.frombuffer(r["keys"], "<i8").sum())
-                    values = {WORDS: np.zeros(n, np.int64), BIGRAMS: np.zeros(n, np.int64)}
+                    head = r
+                elif r["kind"] == -1:
+                    places[r["shard"]] = np.frombuffer(r["keys"], "<i4")
+                    values[r["shard"]] = np.zeros(int(places[r["shard"]].max()) + 1, np.int64)
                 else:
-                    values[r["kind"]][np.frombuffer(r["at"], "<i4")] = np.frombuffer(r["keys"], "<i8")
+                    at, found = int(np.frombuffer(r["at"], "<i8")[0]), np.frombuffer(r["keys"], "<i8")
+                    values[r["kind"]][at : at + len(found)] = found
         if head:
             yield done()
 
@@ -405,7 +430,7 @@ def _routed(texts: DataFrame, parts: DataFrame, o: Options, m: dict, make: Calla
     model = parts.select("kind", "shard", F.lit(None).cast("long").alias("request"), F.lit(None).cast("binary").alias("at"), "keys", "counts")
     met = model.unionByName(asked.filter("kind >= 0")).repartition(n, "kind", "shard").sortWithinPartitions("kind", "shard", F.col("request").asc_nulls_first())
     answers = met.mapInArrow(answer, ROUTE)
-    back = answers.unionByName(asked.filter("kind < 0")).repartition(n, "request").sortWithinPartitions("request", "kind")
+    back = answers.unionByName(asked.filter("kind < 0")).repartition(n, "request").sortWithinPartitions("request", "kind", "shard")
     return back.mapInArrow(finish, schema)
 
 

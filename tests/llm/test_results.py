@@ -243,6 +243,21 @@ def test_bloom_levels_are_never_under_the_count():
     assert (lm_score.bloom_levels(rng.integers(0, 2**63, 20000).astype(np.uint64), data, o) > 0).mean() < 0.015
 
 
+@pytest.mark.parametrize("shards", [1, 16, 256])
+def test_bloom_filters_are_probed_at_once(monkeypatch, shards):
+    """The same levels as shard by shard, in a number of steps that doesn't grow with the shards."""
+    rng = np.random.default_rng(2)
+    keys, counts, o = np.unique(rng.integers(0, 2**64, 4000, np.uint64)), rng.integers(1, 100, 4000), lm_score.Options(shards=shards)
+    slices = lm_score._by_shard(keys, shards)
+    filters = [lm_score.bloom(keys[s], counts[s], o) if i % 5 != 3 else np.zeros(0, np.uint8) for i, s in enumerate(slices)]
+    asked = np.unique(np.concatenate([keys, rng.integers(0, 2**64, 1000, np.uint64)]))
+    alone = [lm_score.bloom_levels(asked[s], f, o) if len(f) else np.zeros(s.stop - s.start) for s, f in zip(lm_score._by_shard(asked, shards), filters)]
+    steps, bit = [], lm_score._bit
+    monkeypatch.setattr(lm_score, "_bit", lambda *a: steps.append(1) or bit(*a))
+    got = lm_score.bloom_levels(asked, np.concatenate(filters), o, np.cumsum([0, *map(len, filters)]))
+    assert (got == np.concatenate(alone)).all() and len(steps) < 12 * o.probes
+
+
 def test_gradients_are_right():
     rng = np.random.default_rng(0)
     p = {"b": rng.standard_normal((3, 1))}
