@@ -8,8 +8,9 @@ exact. A bigram's count is quantised on a logarithmic scale, and the bigram ente
 shard's Bloom filter once for each level up to its own; at scoring time the filter is
 probed level after level until one is missing. A level stands for the mean count of its bigrams, so
 quantising keeps the total, and the probabilities after a word sum to one on average over the
-words (not for each). The weight of the word model is the one of a few under which a sample of training documents, each
-token left out of its own counts, is likeliest. The filter and the word counts are
+words (not for each). The weight of the word model is the one of a few under which all training documents, each
+token left out of its own counts, are likeliest; one pass scores under every weight, and the best one's
+scores are kept. The filter and the word counts are
 broadcast while their size, known by then, stays within a bound. Beyond it the probes go
 to the shards instead, by a shuffle, with the same results.
 """
@@ -17,7 +18,7 @@ to the shards instead, by a shuffle, with the same results.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import groupby
 
@@ -42,8 +43,8 @@ SHARD_BYTES = 32 << 20
 BROADCAST_BYTES = 256 << 20
 #: Requests of a shard that are answered at a time.
 TOGETHER = 64
-#: Documents, about, on which the weight is chosen.
-TUNING_DOCS = 2000
+#: Training documents on which the weight is chosen: all.
+TUNING_DOCS = float("inf")
 WEIGHTS = (1.0, 3.0, 10.0, 30.0, 100.0, 300.0, 1000.0, 3000.0)
 PART_SCHEMA = "kind int, shard int, entries long, total long, keys binary, counts binary"
 
@@ -260,45 +261,43 @@ def word_counts(keys: np.ndarray, known: np.ndarray, counts: np.ndarray) -> np.n
     return np.where(known[at] == keys, counts[at], 0).astype(np.int64)
 
 
-def _pairs(sizes: np.ndarray, c: np.ndarray, level: np.ndarray, m: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a block's tokens: where each text begins, the count of what precedes, and of both together."""
+def _scores(ids: list, sizes: np.ndarray, c: np.ndarray, level: np.ndarray, place: np.ndarray, m: dict, weights: tuple[float, ...]) -> pa.RecordBatch:
+    """Rows of a block from its tokens' word counts, its distinct bigrams' levels and each token's place
+    among those. ``left_out``, in the block's first row, is the log10 probability of its training texts under
+    each of ``weights``, every token left out of the counts that it made itself."""
     first = np.cumsum(sizes) - sizes
     before = np.empty_like(c)
     before[1:] = c[:-1]
     before[first] = m["docs"]
-    return first, before, np.minimum(level_value(level, m["means"]), np.minimum(c, before))
-
-
-def _scores(ids: list, sizes: np.ndarray, c: np.ndarray, level: np.ndarray, m: dict, o: Options) -> pa.RecordBatch:
-    """Rows of a block from its tokens' word counts and bigram levels."""
-    first, before, pair = _pairs(sizes, c, level, m)
     word = (c + 1) / (m["tokens"] + 1 * (m["types"] + 1))
-    smooth = np.log10((pair + o.weight * word) / (before + o.weight))
+    out = [held_out(k) for k in ids]
+    # what depends on the bigram alone is worked out once for each
+    some = np.empty(len(level), np.int64)
+    some[place] = np.arange(len(place))
+    after, prior, of_word = c[some], before[some], word[some]
+    pair = np.minimum(level_value(level, m["means"]), np.minimum(after, prior))
+    learned = np.bincount(place[np.repeat(~np.array(out, bool), sizes)], minlength=len(level))
+    own_word = np.maximum(after, 1) / (m["tokens"] + m["types"] or 1)
+    own_pair, own_prior = np.maximum(pair - 1, 0), np.maximum(prior - 1, 0)
+    scores, left_out = np.empty((len(ids), len(weights))), []
+    for i, w in enumerate(weights):
+        scores[:, i] = np.add.reduceat(np.log10((pair + w * of_word) / (prior + w))[place], first)
+        left_out.append(float(learned @ np.log10((own_pair + w * own_word) / (own_prior + w))))
+    lists = pa.list_(pa.float64())
     columns = [
         pa.array(ids, pa.int64()),
-        pa.array([held_out(k) for k in ids]),
+        pa.array(out),
         pa.array(sizes),
         pa.array(np.add.reduceat((c > 0).astype(np.int64), first)),
         pa.array(np.full(len(ids), m["tokens"], np.int64)),
         pa.array(np.add.reduceat(np.log10(word), first)),
-        pa.array(np.add.reduceat(smooth, first)),
+        pa.ListArray.from_arrays(pa.array(np.arange(len(ids) + 1) * len(weights), pa.int32()), pa.array(scores.ravel())),
+        pa.array([left_out] + [None] * (len(ids) - 1), lists),
     ]
-    return pa.RecordBatch.from_arrays(columns, ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
-
-
-def _left_out(ids: list, sizes: np.ndarray, c: np.ndarray, level: np.ndarray, m: dict, o: Options) -> pa.RecordBatch:
-    """The log10 probability of a block of training texts under each of WEIGHTS, every token left out of
-    the counts that it made itself."""
-    _, before, pair = _pairs(sizes, c, level, m)
-    word = np.maximum(c, 1) / (m["tokens"] + m["types"])
-    sums = [float(np.log10((np.maximum(pair - 1, 0) + w * word) / (np.maximum(before - 1, 0) + w)).sum()) for w in WEIGHTS]
-    return pa.RecordBatch.from_arrays([pa.array([sums], pa.list_(pa.float64()))], ["sums"])
-
-
-SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in SCHEMA.split(", ")])
 
 
-LEFT_OUT = "sums array<double>"
+SCHEMA = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, scores array<double>, left_out array<double>"
 
 
 @dataclass
@@ -318,22 +317,18 @@ def prepare(parts: DataFrame, o: Options, train_docs: int, broadcast_bytes: int
     return Model(parts, m, parts.sparkSession.sparkContext.broadcast(_collected(parts, o)) if small else None)
 
 
-def choose_weight(learned: DataFrame, model: Model, o: Options) -> Options:
-    """``o`` with the best of WEIGHTS on about TUNING_DOCS training documents, picked by a hash of their text."""
-    one_in = max(1, model.totals["docs"] // TUNING_DOCS)
-    sample = learned.filter(F.expr(f"pmod(xxhash64(text, 9), {one_in}) = 0"))
-    rows = score(sample, model, o, _left_out, LEFT_OUT)
-    best = rows.agg(*[F.sum(F.get("sums", F.lit(i))).alias(str(i)) for i in range(len(WEIGHTS))]).first()
-    weight = max(zip((x if x is not None else 0.0 for x in best), WEIGHTS))[1]
-    return Options(o.probes, o.bits, o.base, weight, o.shards)
+def choose_weight(rows: DataFrame) -> int:
+    """Which of WEIGHTS makes all training documents likeliest, from the rows of :func:`score`."""
+    best = rows.agg(*[F.sum(F.get("left_out", F.lit(i))).alias(str(i)) for i in range(len(WEIGHTS))]).first()
+    return max((x if x is not None else 0.0, i) for i, x in enumerate(best))[1]
 
 
-def score(docs: DataFrame, prepared: Model, o: Options, make: Callable = _scores, schema: str = SCHEMA) -> DataFrame:
-    """Score every document with the model."""
+def score(docs: DataFrame, prepared: Model, o: Options, weights: tuple[float, ...]) -> DataFrame:
+    """Score every document with the model under each of ``weights``."""
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     m, model = prepared.totals, prepared.broadcast
     if model is None:
-        return _routed(texts, prepared.parts, o, m, make, schema)
+        return _routed(texts, prepared.parts, o, m, weights)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, counts, filters, starts = model.value
@@ -343,9 +338,9 @@ def score(docs: DataFrame, prepared: Model, o: Options, make: Callable = _scores
             unique, place = np.unique(h, return_inverse=True)
             c = word_counts(unique, known, counts)[place]
             unique, place = np.unique(bigram_keys(h, _with_previous(h, sizes)), return_inverse=True)
-            yield make(ids, sizes, c, bloom_levels(unique, filters, o, starts)[place], m, o)
+            yield _scores(ids, sizes, c, bloom_levels(unique, filters, o, starts), place, m, weights)
 
-    return texts.mapInArrow(run, schema)
+    return texts.mapInArrow(run, SCHEMA)
 
 
 def _collected(parts: DataFrame, o: Options) -> tuple[bytes, bytes, bytes, np.ndarray]:
@@ -365,7 +360,7 @@ def _collected(parts: DataFrame, o: Options) -> tuple[bytes, bytes, bytes, np.nd
 ROUTE = "kind int, shard int, request long, at binary, keys binary, counts binary"
 
 
-def _routed(texts: DataFrame, parts: DataFrame, o: Options, m: dict, make: Callable, schema: str) -> DataFrame:
+def _routed(texts: DataFrame, parts: DataFrame, o: Options, m: dict, weights: tuple[float, ...]) -> DataFrame:
     """The same scores for a model of any size: each block's distinct keys travel to their
     shards, and the answers back to the block. No task holds more than one shard and one block."""
 
@@ -407,8 +402,8 @@ def _routed(texts: DataFrame, parts: DataFrame, o: Options, m: dict, make: Calla
 
         def done() -> pa.RecordBatch:
             ids, none = np.frombuffer(head["at"], "<i8").tolist(), np.frombuffer(head["counts"], "u1").tolist()
-            c, level = (values[k][places[k]] for k in (WORDS, BIGRAMS))
-            return make([None if x else k for k, x in zip(ids, none)], np.frombuffer(head["keys"], "<i8"), c, level, m, o)
+            c = values[WORDS][places[WORDS]]
+            return _scores([None if x else k for k, x in zip(ids, none)], np.frombuffer(head["keys"], "<i8"), c, values[BIGRAMS], places[BIGRAMS], m, weights)
 
         for b in batches:
             for r in b.to_pylist():
@@ -431,7 +426,7 @@ def _routed(texts: DataFrame, parts: DataFrame, o: Options, m: dict, make: Calla
     met = model.unionByName(asked.filter("kind >= 0")).repartition(n, "kind", "shard").sortWithinPartitions("kind", "shard", F.col("request").asc_nulls_first())
     answers = met.mapInArrow(answer, ROUTE)
     back = answers.unionByName(asked.filter("kind < 0")).repartition(n, "request").sortWithinPartitions("request", "kind", "shard")
-    return back.mapInArrow(finish, schema)
+    return back.mapInArrow(finish, SCHEMA)
 
 
 def _routes(rows: list[tuple]) -> pa.RecordBatch:
@@ -455,4 +450,6 @@ def lm_scores(docs: DataFrame, options: Options | None = None, broadcast_bytes:
     learned = texts.filter(~out)
     parts, o = train(learned, options)
     model = prepare(parts, o, learned.select("doc_id").count(), broadcast_bytes)
-    return score(texts, model, o if o.weight else choose_weight(learned, model, o))
+    rows = score(texts, model, o, (o.weight,) if o.weight else WEIGHTS)
+    rows, at = (rows, 0) if o.weight else (scored := spool(rows, "lm-scores"), choose_weight(scored))
+    return rows.select(*rows.columns[:-2], F.get("scores", F.lit(at)).alias("score"))

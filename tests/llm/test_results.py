@@ -234,6 +234,22 @@ def test_lm_scores(docs, texts, bound):
     assert off / len(words) < 0.01
 
 
+def test_weight_is_chosen_on_all_documents(spark, monkeypatch):
+    """The fifth that a sample of ten would be has words that stand once; the rest repeat one sentence."""
+    monkeypatch.setattr(lm_score, "TUNING_DOCS", 10)
+    repeated, single = [f"a b c d e f g h{' ' * i}" for i in range(200)], [" ".join(f"w{i}x{k}" for k in range(9)) for i in range(200)]
+    drawn = {r[0] for r in spark.createDataFrame([(t,) for t in repeated + single], "text string").filter("pmod(xxhash64(text, 9), 5) = 0").collect()}
+    texts = [t for t in repeated if t not in drawn][:44] + [t for t in single if t in drawn][:11]
+    ids = [i for i in range(200) if not lm_score.held_out(i)]
+    d = spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")
+    words = [[*t.split(), "."] for t in texts]
+    uni, bi = collections.Counter(x for w in words for x in w), collections.Counter(p for w in words for p in zip([None, *w], w))
+    left_out = lambda a, b, x: (bi[a, b] - 1 + x * uni[b] / (sum(uni.values()) + len(uni))) / ((uni[a] if a else len(texts)) - 1 + x)
+    weight = max(lm_score.WEIGHTS, key=lambda x: sum(n * math.log10(left_out(a, b, x)) for (a, b), n in bi.items()))
+    scores = lambda o: {r["doc_id"]: round(r["score"], 6) for r in lm_score.lm_scores(d, o).collect()}
+    assert len(texts) == 55 and scores(None) == scores(lm_score.Options(weight=weight))
+
+
 def test_bloom_levels_are_never_under_the_count():
     rng = np.random.default_rng(1)
     keys, counts = rng.integers(0, 2**63, 5000).astype(np.uint64), rng.integers(1, 500, 5000)
