@@ -269,3 +269,27 @@ def test_interleaved_blocks_of_any_number_of_lines(spark, tmp_path, n):
     want = duckdb.execute(queries.ORACLES["interleave_blocks"].replace("documents", f"'{table}/*.parquet'")).fetchall()
     got = [tuple(r) for r in queries.interleave_blocks(spark, str(tmp_path)).collect()]
     assert sorted(got) == sorted(want) and len(got) == n
+
+
+@pytest.mark.parametrize("block", [4, 1000])
+def test_best_in_shard_in_blocks(spark, block):
+    """Equal scores, zero and null vectors, other lengths; every pair is scored, and none leaves its block but the best."""
+    rng = random.Random(5)
+    rows = [(i % 2, i, [float(rng.randint(-2, 2)) for _ in range(3)]) for i in range(60)] + [(0, 60, [0.0] * 3), (0, 61, None), (1, 62, [1.0, 2.0]), (None, 63, [1.0] * 3), (3, 64, [1.0] * 3), (3, 65, [2.0] * 3)]
+    d = spark.createDataFrame(rows, "shard int, id long, vector array<double>")
+    src, trg = d.filter("id % 2 = 0 or shard = 1").withColumnRenamed("id", "src_idx"), d.withColumnRenamed("id", "trg_idx")
+
+    def cosine(a, b):
+        if not a or not b or len(a) != len(b) or not any(a) or not any(b):
+            return None
+        return sum(x * y for x, y in zip(a, b)) / math.sqrt(sum(x * x for x in a)) / math.sqrt(sum(x * x for x in b))
+
+    want = set()
+    for s, i, a in rows:
+        if s is not None and (i % 2 == 0 or s == 1):
+            pairs = sorted((c is None, -round(c, 6) if c is not None else 0.0, j) for t, j, b in rows if t == s for c in [cosine(a, b)])
+            want |= {(s, i, j, None if none else round(-c, 6) + 0.0, rank) for rank, (none, c, j) in enumerate(pairs[:3], 1)}
+    out = embeddings.best_in_shard(src, trg, 3, block_rows=block)
+    got = {(r["shard"], r["src_idx"], r["trg_idx"], None if r["score"] is None else round(r["score"], 6) + 0.0, r["rank"]) for r in out.collect()}
+    assert got == want
+    assert "FlatMapCoGroupsInArrow" in out._jdf.queryExecution().executedPlan().toString()
