@@ -764,8 +764,10 @@ def streaming_new_texts(spark, sf):
     """The stream read to its end; its appended table is counted."""
     d = read(spark, sf, "documents").select("doc_id", "text")
     table, base = (f"{matching._shared(spark)}/{x}-{uuid.uuid4().hex}" for x in ("new-texts", "new-texts-state"))
-    source = matching.cut_lineage(d.repartition(4))
-    stream = spark.readStream.schema(d.schema).option("maxFilesPerTrigger", 2).parquet(source.inputFiles()[0].rsplit("/", 1)[0])
+    # a file a partition of the scan, so that none grows with the input; few are made four, for more than one batch
+    source = matching.cut_lineage(d if d.rdd.getNumPartitions() >= 4 else d.repartition(4))
+    files = source.inputFiles()
+    stream = spark.readStream.schema(d.schema).option("maxFilesPerTrigger", -(-len(files) // 2)).parquet(files[0].rsplit("/", 1)[0])
     new = streaming.new_texts(stream)
     new.writeStream.option("checkpointLocation", base).trigger(availableNow=True).format("parquet").start(table).awaitTermination()
     return spark.read.schema("doc_id long, text string").parquet(table).agg(F.count(F.lit(1)).alias("texts"))

@@ -293,3 +293,17 @@ def test_best_in_shard_in_blocks(spark, block):
     got = {(r["shard"], r["src_idx"], r["trg_idx"], None if r["score"] is None else round(r["score"], 6) + 0.0, r["rank"]) for r in out.collect()}
     assert got == want
     assert "FlatMapCoGroupsInArrow" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_new_texts_are_read_by_as_many_tasks_as_the_scan(spark, tmp_path, monkeypatch):
+    d = spark.createDataFrame([(i, f"text {i % 30}") for i in range(60)], "doc_id long, text string").repartition(6)
+    d.write.parquet(f"{tmp_path}/documents.parquet")
+    seen, cut = [], matching.cut_lineage
+    monkeypatch.setattr(matching, "cut_lineage", lambda df: (seen.append(df.rdd.getNumPartitions()), cut(df))[1])
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", str(256 << 20))
+    try:
+        assert queries.streaming_new_texts(spark, str(tmp_path)).first()["texts"] == 30
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", before)
+    assert seen == [6]
