@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: ASCII punctuation and digits: what the noise filter counts.
-NOISE = r"[^!-/:-@\[-`{-~0-9]"
+NOISE = r"[!-/:-@\[-`{-~0-9]+"
 #: Marks stripped from both ends of a word: ASCII punctuation and the common Unicode ranges.
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~¡§«¶·»¿‐‑‒–—―‖‗‘’‚‛“”„‟†‡•‣․‥…‧‰′″‹›※‼‽⁂、。〈〉《》「」『』【】〔〕！＂＃％＆＇（）＊，－．／：；？＠［＼］＿｛｝｡｢｣､･"
 

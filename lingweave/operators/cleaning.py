@@ -11,7 +11,8 @@ from ..functions import text as T
 def is_noise(sentence: Column) -> Column:
     """True where a NUL is inside or at least half of the characters (rounded down) are ASCII
     marks or digits; so true for sentences of under two characters."""
-    n = F.length(F.regexp_replace(sentence, T.NOISE, ""))
+    # the marks go and not the letters, since each match costs as much as many plain characters
+    n = F.length(sentence) - F.length(F.regexp_replace(sentence, T.NOISE, ""))
     return sentence.contains("\0") | ~(n < F.floor(F.length(sentence) / 2))
 
 

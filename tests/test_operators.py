@@ -307,3 +307,12 @@ def test_new_texts_are_read_by_as_many_tasks_as_the_scan(spark, tmp_path, monkey
     finally:
         spark.conf.set("spark.sql.files.openCostInBytes", before)
     assert seen == [6]
+
+
+def test_noise_is_counted_by_the_marks_and_not_the_letters(spark):
+    """Each match of the pattern costs, so what it matches must be the rarer kind."""
+    import re
+
+    from lingweave.functions import text
+
+    assert re.findall(text.NOISE, "Ab, c. (1)") == [",", ".", "(1)"]
