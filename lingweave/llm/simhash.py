@@ -178,6 +178,107 @@ def _keyed(rows: DataFrame, name: str, plan: list, probing: bool, seg: str = "se
     return rows.withColumn("__k", F.explode(F.concat(*[keys(i, *x) for i, x in enumerate(plan)]))).select(*rows.columns, f"__k.{seg}", f"__k.{val}")
 
 
+#: Classes in a group of :func:`near_id_pairs`, before their neighbours' are added.
+GROUP = 32_768
+
+
+def near_id_pairs(classes: DataFrame, distance: int, verify: int, hot_bucket: int = HOT_BUCKET, parts: int = 3) -> DataFrame:
+    """id, id2 of the pairs of ``classes`` (fp, v, id) whose fp differ in at most ``distance`` bits and v in
+    at most ``verify``, once each: the pairs of :func:`near_links` with balls of radius one at most on either side.
+
+    A class goes to the groups of its segments' first bits and of those that differ in one of them (24 copies at
+    four million classes, where exploded balls are 67 a side). A group enumerates the balls' values itself, sorts them
+    and compares a bucket's rows as vectors, each two once. Buckets of over ``hot_bucket`` are keyed by further segments.
+    """
+    plan = _plan(0, BITS, distance, parts)
+    n = classes.count()
+    bits = [min(w, max(0, (max(n, 1) - 1) // GROUP).bit_length()) for _, w, _ in plan]
+
+    def places(i: int, lo: int, w: int, r: int) -> Column:
+        first = _segment(F.col("fp"), lo + w - bits[i], bits[i])
+        masks = F.array(*[F.lit(m).cast("long") for m in _ball(bits[i], _half(r))])
+        return F.transform(masks, lambda m: F.struct(F.lit(i).alias("seg"), first.bitwiseXOR(m).alias("pre")))
+
+    rows = classes.select("fp", "v", "id", F.explode(F.concat(*[places(i, *x) for i, x in enumerate(plan)])).alias("k")).select("k.seg", "k.pre", "fp", "v", "id")
+
+    def run(t: pa.Table) -> pa.Table:
+        fp, v, ids = (t[c].to_numpy() for c in ("fp", "v", "id"))
+        seg, pre = t["seg"][0].as_py(), t["pre"][0].as_py()
+        a, b = _pairs_of_group(fp.view(np.uint64), v.view(np.uint64), plan, seg, pre, bits[seg], distance, verify, hot_bucket, parts)
+        return pa.table({"id": ids[a], "id2": ids[b]})
+
+    return rows.groupBy("seg", "pre").applyInArrow(run, "id long, id2 long")
+
+
+def _half(radius: int) -> int:
+    return (radius + 1) // 2
+
+
+def _values(fp: np.ndarray, lo: int, w: int) -> np.ndarray:
+    return (fp >> np.uint64(lo)).astype(np.int64) & ((1 << w) - 1)
+
+
+def _sorted_buckets(value: np.ndarray, who: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Both by value, and the end of each one's bucket."""
+    order = np.argsort(value, kind="stable")
+    value, who = value[order], who[order]
+    last = np.flatnonzero(np.append(value[1:] != value[:-1], True)) if len(value) else np.zeros(0, np.int64)
+    return value, who, np.repeat(last + 1, np.diff(last, prepend=-1))
+
+
+def _meetings(fp: np.ndarray, v: np.ndarray, who: np.ndarray, end: np.ndarray, active: np.ndarray, distance: int, verify: int) -> tuple[np.ndarray, np.ndarray]:
+    """Places (first, second) of the ``active`` ones' alike rows further on in the same bucket."""
+    f, out = fp[who], [np.zeros((2, 0), np.int64)]
+    lag = 1
+    while len(active := active[active + lag < end[active]]):
+        hit = active[np.bitwise_count(f[active] ^ f[active + lag]) <= distance]
+        hit = hit[np.bitwise_count(v[who[hit]] ^ v[who[hit + lag]]) <= verify]
+        out.append(np.stack((hit, hit + lag)))
+        lag += 1
+    first, second = np.concatenate(out, axis=1)
+    return first, second
+
+
+def _canonical(fp: np.ndarray, a: np.ndarray, b: np.ndarray, value: np.ndarray, plan: list, seg: int) -> np.ndarray:
+    """True where no segment before ``seg`` makes the pair meet, and ``value`` is the one, of those at which it meets, that counts."""
+    ok = np.ones(len(a), bool)
+    for lo, w, r in plan[:seg]:
+        ok &= np.bitwise_count(_values(fp[a], lo, w) ^ _values(fp[b], lo, w)) > 2 * _half(r)
+    lo, w, _ = plan[seg]
+    x, y = _values(fp[a], lo, w), _values(fp[b], lo, w)
+    d = x ^ y
+    low = d & -d
+    # one bit apart: the lesser value; two: the lesser of both between them
+    return ok & (value == np.where(d == 0, x, np.where(d == low, np.minimum(x, y), np.minimum(x ^ low, y ^ low))))
+
+
+def _pairs_of_group(fp: np.ndarray, v: np.ndarray, plan: list, seg: int, pre: int, bits: int, distance: int, verify: int, hot_bucket: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs, by row numbers, that meet in the group ``pre`` of the first ``bits`` of segment ``seg`` and count there."""
+    lo, w, r = plan[seg]
+    val = _values(fp, lo, w)
+    off = (val >> (w - bits)) ^ pre
+    own, near = np.flatnonzero(off == 0), np.flatnonzero(off)
+    flips = [0, *(1 << i for i in range(w - bits))] if _half(r) else [0]
+    value, who, end = _sorted_buckets(np.concatenate([val[near] ^ (off[near] << (w - bits)), *[val[own] ^ m for m in flips]]), np.concatenate([near, *[own] * len(flips)]))
+    size = end - np.searchsorted(value, value)
+    hot = size > hot_bucket
+    first, second = _meetings(fp, v, who, end, np.flatnonzero(~hot), distance, verify)
+    keep = _canonical(fp, who[first], who[second], value[first], plan, seg)
+    found = [(who[first[keep]], who[second[keep]])]
+    other = _rest(lo, w, distance, parts)
+    for stop in np.unique(end[hot]):
+        members = who[stop - size[stop - 1] : stop]
+        for i, (lo2, w2, r2) in enumerate(other):
+            inner = _values(fp[members], lo2, w2)
+            masks = _ball(w2, _half(r2))
+            value2, who2, end2 = _sorted_buckets(np.concatenate([inner ^ m for m in masks]), np.concatenate([members] * len(masks)))
+            x, y = _meetings(fp, v, who2, end2, np.arange(len(who2)), distance, verify)
+            a, b = who2[x], who2[y]
+            keep = _canonical(fp, a, b, value2[x], other, i) & _canonical(fp, a, b, np.full(len(a), value[stop - 1]), plan, seg)
+            found.append((a[keep], b[keep]))
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
 def _shared(radius: int, probing: bool) -> int:
     return (radius + 1) // 2 if probing else radius // 2
 
@@ -248,8 +349,10 @@ def near_copies(docs: DataFrame, distance: int = 8, verify: int = 16, n: int = 3
     """
     fps = spool(paired_fingerprints(docs, n, seed), "simhash-pairs")
     classes = _classes(fps, ["fp", "v"], F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
-    alike = lambda p, t: F.bit_count(p["v"].bitwiseXOR(t["v"])) <= verify
-    links = near_links(classes, distance, hot_bucket, 3, ("fp", "v", "id"), alike)
+    if distance <= 8:  # balls of radius one at most
+        links = spool(near_id_pairs(classes, distance, verify, hot_bucket), "simhash-links")
+    else:
+        links = near_links(classes, distance, hot_bucket, 3, ("fp", "v", "id"), lambda p, t: F.bit_count(p["v"].bitwiseXOR(t["v"])) <= verify)
     reachable = _least_reachable(classes, links)
     marked = classes.join(reachable, F.col("id") == F.col("node"), "left").select("fp", "v", F.coalesce("reachable", "least").alias("r"))
     return fps.join(marked, ["fp", "v"]).select("doc_id", "text_key", F.col("r.doc_id").alias("component_id"), F.col("r.text_key").alias("component_key"))

@@ -101,6 +101,28 @@ def test_fingerprints_are_not_broadcast(spark, distance, parts, hot):
     assert "SortMergeJoin" in plan and not re.search(r"(Broadcast\w+|ShuffledHash)Join.* Inner", plan)
 
 
+@pytest.mark.parametrize("group", [32_768, 20])
+@pytest.mark.parametrize("hot", [2000, 4])
+@pytest.mark.parametrize("distance", [8, 7, 4, 1])
+def test_near_pairs_in_groups_miss_nothing(spark, monkeypatch, group, hot, distance):
+    monkeypatch.setattr(simhash, "GROUP", group)
+    rng = random.Random(4)
+    base = [(rng.getrandbits(64), rng.getrandbits(64)) for _ in range(12)]
+    flip = lambda x, most: x ^ sum(1 << k for k in rng.sample(range(64), rng.randint(0, most)))
+    prints = sorted({(flip(a, 7), flip(b, 12)) for a, b in base for _ in range(25)} | {(a, flip(b, 5)) for a, b in base[:2] for _ in range(9)})
+    signed = [tuple(x - (1 << 64) if x >> 63 else x for x in p) for p in prints]
+    classes = spark.createDataFrame([(a, b, i) for i, (a, b) in enumerate(signed)], "fp long, v long, id long")
+    apart = lambda i, j, k: (prints[i][k] ^ prints[j][k]).bit_count()
+    want = {(j, i) for i in range(len(prints)) for j in range(i) if apart(i, j, 0) <= distance and apart(i, j, 1) <= 16}
+    rows = [tuple(sorted((r["id"], r["id2"]))) for r in simhash.near_id_pairs(classes, distance, 16, hot).collect()]
+    assert len(rows) == len(set(rows)) and set(rows) == want and want
+
+
+def test_near_copies_are_not_joined_as_exploded_rows(docs, monkeypatch):
+    monkeypatch.setattr(simhash, "near_links", None)
+    simhash.near_copies(docs)
+
+
 def test_near_copies(docs, texts):
     got = {r["doc_id"]: r["component_id"] for r in simhash.near_copies(docs).collect()}
     assert got == near_components(texts)
