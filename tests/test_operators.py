@@ -316,3 +316,18 @@ def test_noise_is_counted_by_the_marks_and_not_the_letters(spark):
     from lingweave.functions import text
 
     assert re.findall(text.NOISE, "Ab, c. (1)") == [",", ".", "(1)"]
+
+
+@pytest.mark.parametrize(("least", "most", "threshold"), [(2, 1000, 0.1), (2, 5, 0.05), (1, 1000, 0.0), (3, 4, 0.3)])
+def test_similarity_in_blocks(spark, monkeypatch, least, most, threshold):
+    """Several buckets, blocks of targets, chunks of sources and slices of meetings give the pairs of brute force, and no meeting moves."""
+    for name, n in {"BUCKET": 100, "TARGETS": 40, "CHUNK": 3, "ROW": 30, "MEETINGS": 7, "CELLS": 20}.items():
+        monkeypatch.setattr(tfidf, name, n)
+    rng = random.Random(3)
+    text = lambda: " ".join(rng.choice("a b c d e f g h".split()) for _ in range(rng.randint(0, 25)))
+    src, trg = [text() for _ in range(25)], [text() for _ in range(25)]
+    want = expected_pairs(src, trg, least, most, threshold)
+    out = tfidf.similarity(documents(spark, src, trg), 2, least, most, threshold)
+    got = {(r["src_idx"], r["trg_idx"]): r["score"] for r in out.collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want) and want
+    assert "ngram" not in out._jdf.queryExecution().executedPlan().toString()
