@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -11,6 +14,18 @@ NOISE = r"[!-/:-@\[-`{-~0-9]+"
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~¡§«¶·»¿‐‑‒–—―‖‗‘’‚‛“”„‟†‡•‣․‥…‧‰′″‹›※‼‽⁂、。〈〉《》「」『』【】〔〕！＂＃％＆＇（）＊，－．／：；？＠［＼］＿｛｝｡｢｣､･"
 
 
+def in_python(f: Callable, kind: str, *columns: Column | str, rows: int = 128) -> Column:
+    """``f`` of each row's values, as Spark's type ``kind``. Of an Arrow batch only ``rows`` are Python objects at a time."""
+    arrow = {"string": pa.string(), "array<string>": pa.list_(pa.string())}[kind]
+
+    @F.arrow_udf(kind)
+    def run(*values: pa.Array) -> pa.Array:
+        parts = [pa.array([f(*x) for x in zip(*(v.slice(at, rows).to_pylist() for v in values))], arrow) for at in range(0, len(values[0]), rows)]
+        return pa.concat_arrays(parts) if parts else pa.array([], arrow)
+
+    return run(*columns)
+
+
 def tokens(text: Column, separators: str = "[ \n]+") -> Column:
     """Non-empty pieces between separators."""
     return F.array_remove(F.split(text, separators), "")

@@ -63,11 +63,7 @@ def simple_text(html: str | None) -> str:
 
 
 def html_to_text(html: Column) -> Column:
-    @F.pandas_udf("string")
-    def run(pages: pd.Series) -> pd.Series:
-        return pages.map(simple_text)
-
-    return T.normalise_space(run(html))
+    return T.normalise_space(T.in_python(simple_text, "string", html))
 
 
 def decode_bytes(data: Column, declared: Column | None = None) -> Column:
