@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import Row
 from pyspark.sql import functions as F
 
-from lingweave.operators import cleaning, docjoin, embeddings, lexicon, matching, sentences, tfidf, training
+from lingweave.operators import cleaning, docjoin, embeddings, features, lexicon, matching, sentences, tfidf, training
 from lingweave.plans import pipeline, queries
 from lingweave.plans.config import Config
+from lingweave.sources import html
 from lingweave.streaming import dedup
 
 
@@ -331,3 +332,36 @@ def test_similarity_in_blocks(spark, monkeypatch, least, most, threshold):
     got = {(r["src_idx"], r["trg_idx"]): r["score"] for r in out.collect()}
     assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want) and want
     assert "ngram" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def test_term_queries_move_terms_once(spark, tmp_path):
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice("a b c d e f".split()) for _ in range(rng.randint(0, 12)))) for i in range(40)] + [(7, "a b c"), (9, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    w = queries.tfidf_weights(spark, str(tmp_path))
+    plan = w._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[-1]
+    assert plan.count("Exchange hashpartitioning") == 2 and "Join " not in plan.replace("CartesianProduct", "").replace("BroadcastNestedLoopJoin ", "")
+    norms = {(r["side"], r["doc_idx"]): r["norm"] for r in queries.doc_norms(spark, str(tmp_path)).collect()}
+    want = {(r["side"], r["doc_idx"]): r["norm"] for r in tfidf.norms(w).collect()}
+    assert norms.keys() == want.keys() and all(norms[k] == pytest.approx(want[k], abs=2e-6) for k in want)
+    assert "ngram" not in queries.doc_norms(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    plan = queries.doc_freq_pruned(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(side" in plan and not any("ngram" in x and "side" in x for x in plan.splitlines() if "hashpartitioning" in x)
+
+
+def test_only_matched_documents_move(spark):
+    d = spark.createDataFrame([(i, f"t{i}") for i in range(50)], "doc_idx long, text string")
+    m = spark.createDataFrame([(1, 2, 0.5), (3, 4, 0.7), (5, 99, 0.1)], "src_idx long, trg_idx long, score double")
+    out = docjoin.join_documents(m, d, d, ["text"])
+    assert sorted(map(tuple, out.collect())) == [(2, 1, 0.5, "t1", "t2"), (4, 3, 0.7, "t3", "t4")] and out.columns == ["trg_idx", "src_idx", "score", "src_text", "trg_text"]
+    assert out._jdf.queryExecution().optimizedPlan().toString().count("strategy=broadcast") == 2
+
+
+def test_pages_are_python_objects_a_few_at_a_time(spark):
+    from lingweave.functions import text
+
+    d = spark.range(0, 300, 1, 1).select(F.when(F.col("id") != 5, F.col("id").cast("string")).alias("s"))
+    assert [r[0] for r in d.select(text.in_python(lambda s: s and s + "x", "string", F.col("s"), rows=7)).collect()] == [None if i == 5 else f"{i}x" for i in range(300)]
+    f = {"url": F.lit("u"), "links": F.array(F.lit("l"))}
+    plan = d.select(html.html_to_text(F.col("s")), features.tag_string("s"), features.resolved_links(f["url"], f["links"]), features.structure_similarity("s", "s"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" in plan
