@@ -6,7 +6,6 @@ from html.parser import HTMLParser
 from math import log2
 from urllib.parse import urljoin, urlparse
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,11 +53,7 @@ def resolve(base: str, link: str) -> str:
 
 
 def resolved_links(url: str | Column, links: Column) -> Column:
-    @F.pandas_udf("array<string>")
-    def run(urls: pd.Series, found: pd.Series) -> pd.Series:
-        return pd.Series([sorted({resolve(u or "", x) for x in f}) if f is not None else [] for u, f in zip(urls, found)])
-
-    return run(url, links)
+    return T.in_python(lambda u, found: sorted({resolve(u or "", x) for x in found or []}), "array<string>", url, links)
 
 
 class _Tags(HTMLParser):
@@ -99,11 +94,7 @@ def tags_of(html: str | None) -> str:
 
 
 def tag_string(html: str | Column) -> Column:
-    @F.pandas_udf("string")
-    def run(pages: pd.Series) -> pd.Series:
-        return pages.map(tags_of)
-
-    return run(html)
+    return T.in_python(tags_of, "string", html)
 
 
 def encode_tags(text: str, alphabet: dict[str, str]) -> str:
@@ -125,17 +116,13 @@ def structure_similarity(src: str | Column, trg: str | Column, per_side: bool =
     ``per_side`` gives each its own. Encoding runs in Arrow batches, the distance natively."""
 
     def encoder(shared: bool, which: int):
-        @F.pandas_udf("string")
-        def run(a: pd.Series, b: pd.Series) -> pd.Series:
-            out = []
-            for x, y in zip(a, b):
-                alphabet: dict[str, str] = {}
-                first = encode_tags(x or " ", alphabet)
-                second = encode_tags(y or " ", alphabet if shared else {})
-                out.append((first, second)[which])
-            return pd.Series(out)
-
-        return run(src, trg)
+        def one(x: str | None, y: str | None) -> str:
+            alphabet: dict[str, str] = {}
+            first = encode_tags(x or " ", alphabet)
+            second = encode_tags(y or " ", alphabet if shared else {})
+            return (first, second)[which]
+
+        return T.in_python(one, "string", src, trg)
 
     s, t = encoder(not per_side, 0), encoder(not per_side, 1)
     longer = F.greatest(F.length(s), F.length(t)).cast("double")
